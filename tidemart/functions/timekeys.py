@@ -63,9 +63,12 @@ def days_before(as_of: Column, n: int) -> Column:
 
 
 def within_recent(day: Column, as_of: Column, n) -> Column:
-    """True for the `n` days ending at `as_of`; day `as_of - n` is already out."""
-    n = n if isinstance(n, Column) else F.lit(n)
-    return (F.datediff(as_of, day) >= 0) & (F.datediff(as_of, day) < n)
+    """True for the `n` days ending at `as_of`; day `as_of - n` is already out.
+
+    Written as bounds on the bare day column: with a literal `as_of` they fold to
+    constants, which prune day partitions and reach the file scan.
+    """
+    return (day <= as_of) & (day > F.date_sub(as_of, n))
 
 
 def day_range(start: Column, end: Column, pattern: str = COMPACT_DAY) -> Column:

@@ -14,9 +14,9 @@ def recent_long(daily: DataFrame, day: str, as_of: Column, spans: Sequence[int],
     """One row per key and span. Feed it daily sums: rows older than the longest
     span are pruned first, so a row is copied at most once per span."""
     recent = daily.filter(within_recent(F.col(day), as_of, max(spans)))
-    fitting = F.filter(F.array(*[F.lit(int(n)) for n in spans]),
+    fitting = F.filter(F.array(*[F.lit(n).cast("bigint") for n in spans]),
                        lambda n: F.datediff(as_of, F.col(day)) < n)
-    copies = recent.withColumn("recent_days", F.explode(fitting).cast("bigint"))
+    copies = recent.withColumn("recent_days", F.explode(fitting))
     return copies.groupBy(*keys, "recent_days").agg(
         *[F.sum(src).alias(out) for out, src in sums.items()])
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("retail", )
+FAMILIES = ("retail", "freight")
 
 
 def load_all() -> None:
