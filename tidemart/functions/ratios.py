@@ -6,21 +6,26 @@ from pyspark.sql import Column, functions as F
 
 
 def share(part: Column, whole: Column, digits: int | None = None, empty=None) -> Column:
-    """part / whole as double; `empty` when there is nothing to divide by."""
-    value = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    if digits is not None:
-        value = F.round(value, digits)
+    """part / whole as double; `empty` when there is nothing to divide by.
+
+    With `digits` the quotient is rounded half up as a decimal, so that amounts such
+    as 50.01 / 6 = 8.335 round the same everywhere.
+    """
+    if digits is None:
+        value = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+    else:
+        quotient = part.cast("decimal(28,6)") / F.nullif(whole.cast("decimal(20,2)"), F.lit(0))
+        value = F.round(quotient, digits).cast("double")
     return value if empty is None else F.coalesce(value, F.lit(float(empty)))
 
 
 def percent(part: Column, whole: Column, digits: int = 2, empty=0.0) -> Column:
-    value = F.round(part.cast("double") * 100 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
-    return value if empty is None else F.coalesce(value, F.lit(float(empty)))
+    return share(part * 100, whole, digits, empty)
 
 
 def percent_text(value: Column, digits: int = 2) -> Column:
     """Presentation form only; keep numbers numeric until the report edge."""
-    return F.concat(F.format_string(f"%.{digits}f", value), F.lit("%"))
+    return F.when(value.isNotNull(), F.concat(F.format_string(f"%.{digits}f", value), F.lit("%")))
 
 
 def percent_value(text: Column) -> Column:
@@ -45,6 +50,4 @@ def bounce_rate(bounced: Column, counted: Column | None = None, digits: int = 4,
                 scale: int = 1) -> Column:
     """Aggregate: bounced rows over counted rows (`scale=100` for percent)."""
     counted = F.lit(True) if counted is None else counted
-    hits = F.count(F.when(bounced & counted, 1)).cast("double") * scale
-    total = F.count(F.when(counted, 1)).cast("double")
-    return F.round(hits / F.nullif(total, F.lit(0.0)), digits)
+    return share(F.count(F.when(bounced & counted, 1)) * scale, F.count(F.when(counted, 1)), digits)

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.ratios import share
+
 
 def attach(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str,
            columns: Mapping[str, str] | Sequence[str], how: str = "left") -> DataFrame:
@@ -81,8 +83,7 @@ def share_of_group(pairs: DataFrame, group: Sequence[str], count: str, out: str,
     cond = reduce(lambda a, b: a & b,
                   [pairs[g].eqNullSafe(totals[f"_g_{g}"]) for g in group])
     joined = pairs.join(totals, cond)
-    value = F.col(count).cast("double") / F.nullif(F.col("_total").cast("double"), F.lit(0.0))
-    return joined.withColumn(out, F.round(value, digits)) \
+    return joined.withColumn(out, share(F.col(count), F.col("_total"), digits)) \
         .drop("_total", *[f"_g_{g}" for g in group])
 
 

@@ -27,14 +27,13 @@ def step_pairs(views: DataFrame, session: str, page: str, ts: str, tiebreak: Seq
 def page_visits(jumps: DataFrame, day: Column) -> DataFrame:
     """Each jump's source and target as visits, one per visitor, page and sequence."""
     kept = ["visitor_id", "visit_sequence", "jump_time"]
+    keys = ["visitor_id", "visit_date", "page_id", "visit_sequence"]
     sides = [F.struct(F.col(f"{s}_page_id").alias("page_id"),
                       F.col(f"{s}_page_type").alias("page_type")) for s in ("source", "target")]
     visits = jumps.select(*kept, day.alias("visit_date"), F.inline(F.array(*sides)))
     # Earliest jump wins when the same page and sequence repeats on several jumps.
-    return visits.groupBy("visitor_id", "page_id", "visit_sequence").agg(
-        F.min(F.struct("jump_time", "page_type", "visit_date")).alias("_v")).select(
-        "visitor_id", "page_id", "visit_sequence", F.col("_v.jump_time").alias("visit_time"),
-        F.col("_v.page_type").alias("page_type"), F.col("_v.visit_date").alias("visit_date"))
+    return visits.groupBy(*keys).agg(F.min(F.struct("jump_time", "page_type")).alias("_v")).select(
+        *keys, F.col("_v.jump_time").alias("visit_time"), F.col("_v.page_type").alias("page_type"))
 
 
 def visitor_paths(visits: DataFrame, segment_steps: int = SEGMENT_STEPS,

@@ -6,12 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.ratios import percent
+
 
 def with_total_share(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
     """Percent of the table total; the total is one scalar subquery."""
-    total = df.agg(F.sum(value).cast("double")).scalar()
-    share = F.col(value).cast("double") * 100 / F.nullif(total, F.lit(0.0))
-    return df.withColumn(out, F.round(share, digits))
+    total = df.agg(F.sum(value)).scalar()
+    return df.withColumn(out, percent(F.col(value), total, digits))
 
 
 def scalar_row(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:

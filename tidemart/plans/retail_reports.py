@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.ratios import percent, share
 from ..functions.timekeys import within_recent
 from ..operators.joins import attach, merge_metrics
 from ..operators.paths import step_pairs
@@ -34,7 +35,7 @@ def traffic_by_channel(sessions: DataFrame, as_of: Column, spans: Sequence[int]
     return _dated(long.select(
         "recent_days", "channel", "uv_count", (average("_stay") / 1000).cast("bigint").alias("avg_duration_sec"),
         average("_pages").cast("bigint").alias("avg_page_count"), "sv_count",
-        F.round(average("_bounces"), 2).alias("bounce_rate")), as_of)
+        share(F.col("_bounces"), F.col("sv_count"), 2).alias("bounce_rate")), as_of)
 
 
 def page_paths(views: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def user_retention(logins_td: DataFrame, as_of: Column, days: int = 7) -> DataFr
     return _dated(out.select(
         "create_date", F.datediff(as_of, "create_date").cast("bigint").alias("retention_day"), "retention_count",
         "new_user_count",
-        F.round(F.col("retention_count") * F.lit(100.0) / F.col("new_user_count"), 2).alias("retention_rate")), as_of)
+        percent(F.col("retention_count"), F.col("new_user_count")).alias("retention_rate")), as_of)
 
 
 def user_stats(logins_td: DataFrame, as_of: Column, spans: Sequence[int] = SPANS) -> DataFrame:
@@ -107,7 +108,7 @@ def repeat_rate_by_brand(user_sku_days: DataFrame, sku: DataFrame, as_of: Column
     buyers = attach(recent, sku, "sku_id", "id", ["tm_id", "tm_name"]) \
         .groupBy("tm_id", "tm_name", "user_id").agg(F.sum("_n").alias("_n"))
     out = buyers.groupBy("tm_id", "tm_name").agg(
-        F.round(F.count(F.when(F.col("_n") >= 2, 1)).cast("double") / F.count(F.lit(1)), 2).alias("order_repeat_rate"))
+        share(F.count(F.when(F.col("_n") >= 2, 1)), F.count(F.lit(1)), 2).alias("order_repeat_rate"))
     return _dated(out.withColumn("recent_days", F.lit(span)), as_of)
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("retail", "freight")
+FAMILIES = ("retail", "freight", "shop")
 
 
 def load_all() -> None:
