@@ -688,3 +688,124 @@ class Inputs:
                      F.lit("T01:02:03Z")).alias("create_time"))
 
 
+
+    # ---- user labels ----------------------------------------------------------------------
+
+    @cached_property
+    def label_categories(self) -> DataFrame:
+        size = F.col("p_size").cast("bigint")
+        return self.raw("part").select(
+            size.alias("id"), text(size).alias("b3name"),
+            _choice(size % 10, "手机", "家用电器", "箱包").alias("b1name")).distinct()
+
+    @cached_property
+    def label_compare(self) -> DataFrame:
+        size = F.col("p_size").cast("bigint") % 10
+        return self.raw("part").select(
+            _choice(size, "手机", "家用电器", "箱包").alias("category_name"),
+            _choice(size, "科技与数码", "性价比", "户外").alias("search_category")).distinct()
+
+    @cached_property
+    def label_skus(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").alias("skuid"), F.col("p_size").cast("bigint").alias("c3id"),
+            _choice(F.col("p_partkey"), "TCL", "苹果", "小米", "欧莱雅", "香奈儿", "其它").alias("tname"))
+
+    @cached_property
+    def label_lines(self) -> DataFrame:
+        """Order lines of the label job; amounts around the spending limits."""
+        key = F.col("o_orderkey")
+        orders = self.heads.select(
+            key.alias("order_id"), text(F.col("o_custkey") % 150).alias("uid"),
+            (F.unix_millis("ordered") + key % 24 * 3_600_000).alias("create_time"), money(key % 5000).alias("total_amount"))
+        lines = self.lines.select("detail_id", F.col("l_orderkey").alias("_o"), F.col("l_partkey").alias("sku_id"),
+                                  F.concat(F.lit("sku-"), "l_partkey").alias("sku_name"), F.col("qty").alias("sku_num"))
+        return lines.join(orders, lines["_o"] == orders["order_id"]).drop("_o").withColumn("ts_ms", F.col("create_time"))
+
+    @cached_property
+    def body_metrics(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            text(key).alias("uid"), text(key % 50 + 150).alias("height"), F.lit("cm").alias("unit_height"),
+            text(key % 40 + 45).alias("weight"), F.lit("kg").alias("unit_weight"))
+
+    # ---- change log and comments ------------------------------------------------------------
+
+    @staticmethod
+    def change_log(orders: DataFrame) -> DataFrame:
+        """JSON change messages of six tables, made from order rows (batch or stream)."""
+        o = Inputs.shape_heads(orders)
+        key, ms = F.col("o_orderkey"), F.unix_millis("ordered")
+        status = F.col("o_orderstatus")
+
+        def row(**cells):
+            return F.map_from_arrays(F.array(*[F.lit(n) for n in cells]), F.array(*[text(c) for c in cells.values()]))
+
+        def change(op, table, before, after, ts, when=None):
+            none = F.lit(None).cast("map<string,string>")
+            body = F.struct(F.lit(op).alias("op"), (none if before is None else before).alias("before"),
+                            after.alias("after"), F.create_map(F.lit("table"), F.lit(table)).alias("source"),
+                            ts.alias("ts_ms"))
+            return body if when is None else F.when(when, body)
+
+        done = F.when(status == "F", "1002").when(status == "P", "1003").otherwise("1006")
+        user, province = F.col("o_custkey"), F.col("o_custkey") % 25
+        operate = ms + 7_200_000
+        lines = F.transform(F.sequence(F.lit(1), (key % 3 + 1).cast("int")), lambda n: change(
+            "c", "order_detail", None, row(
+                id=F.concat_ws("-", key, n), order_id=key, sku_id=key * 7 % 1000 + n, sku_name=F.concat(F.lit("sku "), n),
+                create_time=ms, sku_num=n, order_price=F.col("total"), split_total_amount=F.col("total"),
+                split_activity_amount=key % 11, split_coupon_amount=key % 13), ms + n * 2000))
+        rest = F.array(
+            change("u", "order_info", row(id=key, order_status=F.lit("1001")),
+                   row(id=key, user_id=user, province_id=province, order_status=done, operate_time=operate,
+                       create_time=ms, total_amount=F.col("total")), ms),
+            change("c", "order_detail_activity", None,
+                   row(order_detail_id=F.concat(key, F.lit("-1")), activity_id=key % 6, activity_rule_id=key % 25), ms,
+                   key % 2 == 0),
+            change("c", "order_detail_coupon", None,
+                   row(order_detail_id=F.concat(key, F.lit("-2")), coupon_id=key % 25), ms, key % 3 == 1),
+            change("u", "payment_info", row(payment_status=F.lit("1601")),
+                   row(user_id=user, order_id=key, payment_type=F.concat(F.lit("110"), key % 6 + 1),
+                       callback_time=operate, payment_status=F.lit("1602")), ms + key % 10 * 1000, status == "F"),
+            change("u", "order_refund_info", row(refund_status=F.lit("0701")),
+                   row(id=key + 1, user_id=user, order_id=key, sku_id=key % 1000, refund_num=key % 3 + 1,
+                       refund_amount=F.col("total"), refund_type=F.concat(F.lit("150"), key % 5 + 1),
+                       refund_reason_type=F.concat(F.lit("130"), key % 6 + 1), refund_reason_txt=F.lit("reason"),
+                       create_time=operate, refund_status=F.when(key % 2 == 0, "0705").otherwise("0702")),
+                   ms + 60_000, status == "O"),
+            change("u", "refund_payment", row(refund_status=F.lit("1601")),
+                   row(id=key + 7, order_id=key, sku_id=F.when(key % 3 == 0, F.lit(-1)).otherwise(key % 1000),
+                       payment_type=F.concat(F.lit("110"), key % 6 + 1), callback_time=operate,
+                       total_amount=F.col("total"), refund_status=F.lit("1602")), ms + 120_000,
+                   (status == "O") & (key % 2 == 0)))
+        every = F.filter(F.concat(lines, rest), lambda c: c.isNotNull())
+        return o.select(F.explode(every).alias("c")).select(F.to_json("c").alias("value"))
+
+    @staticmethod
+    def cart_changes(events: DataFrame) -> DataFrame:
+        """Cart change envelopes: snapshots, rises, falls, and updates without an old row."""
+        e, eid = Inputs.shape_events(events).filter(F.col("event_type") == "signup"), F.col("event_id")
+        row = lambda n: F.create_map(F.lit("id"), text(eid), F.lit("user_id"), text("user_id"),
+                                     F.lit("sku_id"), text("k"), F.lit("sku_num"), text(n))
+        return e.select(
+            F.when(eid % 3 == 0, "r").otherwise("u").alias("op"),
+            F.when(eid % 3 == 1, row(eid % 5)).alias("before"), row(eid % 7 + 1).alias("after"),
+            F.create_map(F.lit("table"), F.lit("cart_info")).alias("source"), F.unix_millis("ts").alias("ts_ms"))
+
+    @staticmethod
+    def comment_changes(documents: DataFrame) -> DataFrame:
+        key = F.col("doc_id")
+        return documents.select(
+            F.lit("c").alias("op"), F.lit(None).cast("map<string,string>").alias("before"),
+            F.create_map(F.lit("id"), text(key), F.lit("user_id"), text(key % 100), F.lit("sku_id"), text(key % 50),
+                         F.lit("appraise"), F.concat(F.lit("120"), key % 6 + 1), F.lit("comment_txt"), F.col("text"))
+            .alias("after"),
+            F.create_map(F.lit("table"), F.lit("comment_info")).alias("source"), (key * 1000).alias("ts_ms"))
+
+    @cached_property
+    def listed_words(self) -> DataFrame:
+        """Words to screen for: the last comma-separated part of every text labelled toxic."""
+        toxic = self.raw("labels").filter(F.col("toxic") == 1).select("doc_id")
+        return self.raw("documents").join(toxic, "doc_id").select(
+            F.element_at(F.split("text", ","), -1).alias("word")).distinct()

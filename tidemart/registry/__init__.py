@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("retail", "freight", "shop")
+FAMILIES = ("retail", "freight", "shop", "persona", "streams")
 
 
 def load_all() -> None:

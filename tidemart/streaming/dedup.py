@@ -28,8 +28,12 @@ def newer_only_batch(df: DataFrame, keys: Sequence[str], time: str, arrival: str
     return seen.filter(F.col("_seen").isNull() | (F.col(time) > F.col("_seen"))).drop("_seen")
 
 
-def newer_only(stream: DataFrame, key: str, time: str, arrival: str, ttl_ms: int | None = 3_600_000) -> DataFrame:
-    """Keep a row only if its time is newer than the newest kept for its key."""
+def newer_only(stream: DataFrame, key: str, time: str, arrival: str, ttl_ms: int | None = None) -> DataFrame:
+    """Keep a row only if its time is newer than the newest kept for its key.
+
+    `ttl_ms` forgets idle keys; it needs a continuous trigger, because a run over the
+    available data never ends while state can still expire.
+    """
     state = T.StructType([T.StructField("newest", T.LongType())])
 
     class NewerOnly(StatefulProcessor):
@@ -89,13 +93,13 @@ def bloom(stream: DataFrame, identity: Sequence[Column], expected: int, false_po
                     else np.zeros((bits + 7) // 8, dtype=np.uint8))
             for frame in rows:
                 frame = frame.drop_duplicates("_identity")
-                hashed = frame["_identity"].to_numpy().astype(np.uint64)
+                hashed = frame["_identity"].to_numpy().view(np.uint64)
                 low, high = hashed & np.uint64(0xFFFFFFFF), (hashed >> np.uint64(32)) | np.uint64(1)
                 steps = np.arange(1, functions + 1, dtype=np.uint64)
                 places = ((low[:, None] + steps * high[:, None]) % np.uint64(bits)).astype(np.int64)
-                here = (mask[places >> 3] >> (places & 7).astype(np.uint8)) & 1
-                fresh = ~here.all(axis=1)
-                np.bitwise_or.at(mask, (places >> 3).ravel(), np.left_shift(1, places & 7).astype(np.uint8).ravel())
+                bit = np.left_shift(np.uint8(1), (places & 7).astype(np.uint8))
+                fresh = ((mask[places >> 3] & bit) == 0).any(axis=1)
+                np.bitwise_or.at(mask, (places >> 3).ravel(), bit.ravel())
                 if fresh.any():
                     yield frame[fresh][schema.names]
             self.filter.update((mask.tobytes(),))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas
 from ..functions.keys import row_key
 from ..sources import cdc
-from ..sources.upsert import UpsertTable
+from ..sources.upsert import DAY_MS, UpsertTable
 
 ROUTED = T.StructType([
     T.StructField("sink_table", T.StringType()), T.StructField("row_key", T.StringType()),
@@ -37,8 +37,8 @@ def route(changes: DataFrame, routes: DataFrame) -> DataFrame:
     return joined.select("sink_table", row_key(key).alias("row_key"), info.alias("info"), "ts_ms")
 
 
-def dimension_store(spark: SparkSession, path: str) -> UpsertTable:
-    return UpsertTable(spark, path, ROUTED, ["sink_table", "row_key"])
+def dimension_store(spark: SparkSession, path: str, slice_ms: int = DAY_MS) -> UpsertTable:
+    return UpsertTable(spark, path, ROUTED, ["sink_table", "row_key"], slice_ms=slice_ms)
 
 
 def sync_step(store: UpsertTable, read_routes: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:

@@ -25,7 +25,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, s
     if spread > 1:
         left = left.withColumn("_deal", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in left.columns
                                                            if c != left_time]), F.lit(spread)))
-        right = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("bigint"))
+        right = right.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
         cond = cond & (F.col("_deal") == F.col("_copy"))
     out = left.join(right, cond)
     return out.drop("_deal", "_copy") if spread > 1 else out

@@ -36,6 +36,11 @@ def write_branches(branches: Mapping[str, DataFrame], root: str, batch_id: int)
         frame.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for a run over the available data; raises what made the stream fail."""
-    query.awaitTermination()
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for a run over the available data; raises what made the stream fail, or, with a
+    limit, when the run does not end in time."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"stream {query.id} did not end within {seconds} s")

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.timekeys import millis_text, DAY
+from .. import schemas
 from ..functions.keys import row_key
+from ..functions.timekeys import DAY, millis_text
 from ..operators.joins import attach
 from ..sources.cdc import after, of_table
-from ..sources.upsert import UpsertTable
+from ..sources.upsert import DAY_MS, UpsertTable
 from .joins import interval_join, lookup
 
 # Order, payment and refund status codes.
@@ -75,13 +76,13 @@ class OrderDetailJoin:
     PARTS = {"detail": (detail_rows, ["id"]), "order": (order_rows, ["id"]),
              "activity": (activity_rows, ["order_detail_id"]), "coupon": (coupon_rows, ["order_detail_id"])}
 
-    def __init__(self, spark, root: str, retention_ms: int | None = None):
-        empty = spark.createDataFrame([], _ENVELOPE)
+    def __init__(self, spark, root: str, retention_ms: int | None = None, slice_ms: int = DAY_MS):
+        empty = spark.createDataFrame([], schemas.CDC)
         self.retention_ms = retention_ms
-        self.parts = {name: UpsertTable(spark, f"{root}/{name}", _with_ts(make(empty).schema), keys,
-                                        retention_ms=retention_ms) for name, (make, keys) in self.PARTS.items()}
+        self.parts = {name: UpsertTable(spark, f"{root}/{name}", make(empty).schema, keys,
+                                        retention_ms=retention_ms, slice_ms=slice_ms) for name, (make, keys) in self.PARTS.items()}
         joined = detail_join(*[make(empty) for make, _ in self.PARTS.values()])
-        self.result = UpsertTable(spark, f"{root}/joined", joined.schema, ["id"])
+        self.result = UpsertTable(spark, f"{root}/joined", joined.schema, ["id"], slice_ms=slice_ms)
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         now = None
@@ -100,16 +101,6 @@ class OrderDetailJoin:
         self.result.upsert(detail_join(details, tables["order"], tables["activity"], tables["coupon"]), batch_id)
 
 
-_ENVELOPE = T.StructType([
-    T.StructField("op", T.StringType()), T.StructField("before", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("after", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("source", T.MapType(T.StringType(), T.StringType())), T.StructField("ts_ms", T.LongType())])
-
-
-def _with_ts(schema: T.StructType) -> T.StructType:
-    return schema
-
-
 _LINE = ["order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
          "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 

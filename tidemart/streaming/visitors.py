@@ -29,6 +29,7 @@ def repair_is_new(logs: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """The same over a stream, with the first day of each device as state.
 
     Rows of a device pass through in Arrow batches; the state is a single day number.
+    `ttl_ms` forgets idle devices and needs a continuous trigger.
     """
     state = T.StructType([T.StructField("first_day", T.LongType())])
 
