@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("retail", "freight", "shop", "persona", "streams")
+FAMILIES = ("retail", "freight", "shop", "persona", "streams", "basics")
 
 
 def load_all() -> None:

@@ -92,8 +92,8 @@ def bloom(stream: DataFrame, identity: Sequence[Column], expected: int, false_po
             mask = (np.frombuffer(found[0], dtype=np.uint8).copy() if found is not None
                     else np.zeros((bits + 7) // 8, dtype=np.uint8))
             for frame in rows:
-                frame = frame.drop_duplicates("_identity")
-                hashed = frame["_identity"].to_numpy().view(np.uint64)
+                frame = frame.drop_duplicates("identity_hash")
+                hashed = frame["identity_hash"].to_numpy().view(np.uint64)
                 low, high = hashed & np.uint64(0xFFFFFFFF), (hashed >> np.uint64(32)) | np.uint64(1)
                 steps = np.arange(1, functions + 1, dtype=np.uint64)
                 places = ((low[:, None] + steps * high[:, None]) % np.uint64(bits)).astype(np.int64)
@@ -107,7 +107,8 @@ def bloom(stream: DataFrame, identity: Sequence[Column], expected: int, false_po
         def close(self) -> None:
             pass
 
-    keyed = stream.withColumn("_identity", F.xxhash64(*identity)) \
-        .withColumn("_shard", F.pmod(F.xxhash64("_identity", F.lit("shard")), F.lit(shards)))
-    return keyed.groupBy("_shard").transformWithStateInPandas(
+    # No leading underscore: the rows handed to Python would lose such names.
+    keyed = stream.withColumn("identity_hash", F.xxhash64(*identity)) \
+        .withColumn("shard_no", F.pmod(F.xxhash64("identity_hash", F.lit("shard")), F.lit(shards)))
+    return keyed.groupBy("shard_no").transformWithStateInPandas(
         Bloom(), outputStructType=schema, outputMode="Append", timeMode="None")

@@ -85,18 +85,25 @@ class OrderDetailJoin:
         self.result = UpsertTable(spark, f"{root}/joined", joined.schema, ["id"], slice_ms=slice_ms)
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
-        now = None
-        if self.retention_ms is not None:
-            now = batch.agg(F.max("ts_ms")).first()[0]
+        """One micro-batch, for `runner.per_batch`."""
+        batch = batch.persist()
+        try:
+            self._merge(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _merge(self, batch: DataFrame, batch_id: int) -> None:
+        now = batch.agg(F.max("ts_ms")).first()[0] if self.retention_ms is not None else None
         changed = {name: make(batch) for name, (make, _) in self.PARTS.items()}
         for name, rows in changed.items():
             self.parts[name].upsert(rows, batch_id)
         tables = {name: table.latest(now) for name, table in self.parts.items()}
-        lines = changed["detail"].select("id").unionByName(
-            changed["activity"].select(F.col("order_detail_id").alias("id"))).unionByName(
-            changed["coupon"].select(F.col("order_detail_id").alias("id")))
-        by_order = tables["detail"].join(changed["order"].select(F.col("id").alias("order_id")), "order_id", "left_semi")
-        touched = lines.unionByName(by_order.select("id")).distinct()
+        lines = changed["detail"].select("id")
+        for name in ("activity", "coupon"):
+            lines = lines.unionByName(changed[name].select(F.col("order_detail_id").alias("id")))
+        orders = changed["order"].select(F.col("id").alias("order_id"))
+        by_order = tables["detail"].join(orders, "order_id", "left_semi")
+        touched = lines.unionByName(by_order.select("id"))
         details = tables["detail"].join(touched, "id", "left_semi")
         self.result.upsert(detail_join(details, tables["order"], tables["activity"], tables["coupon"]), batch_id)
 
