@@ -732,8 +732,9 @@ class Inputs:
     # ---- change log and comments ------------------------------------------------------------
 
     @staticmethod
-    def change_log(orders: DataFrame) -> DataFrame:
-        """JSON change messages of six tables, made from order rows (batch or stream)."""
+    def change_log(orders: DataFrame, *tables: str) -> DataFrame:
+        """JSON change messages of the named tables (default: all seven), made from order
+        rows (batch or stream)."""
         o = Inputs.shape_heads(orders)
         key, ms = F.col("o_orderkey"), F.unix_millis("ordered")
         status = F.col("o_orderstatus")
@@ -756,7 +757,7 @@ class Inputs:
                 id=F.concat_ws("-", key, n), order_id=key, sku_id=key * 7 % 1000 + n, sku_name=F.concat(F.lit("sku "), n),
                 create_time=ms, sku_num=n, order_price=F.col("total"), split_total_amount=F.col("total"),
                 split_activity_amount=key % 11, split_coupon_amount=key % 13), ms + n * 2000))
-        rest = F.array(
+        rest = [
             change("u", "order_info", row(id=key, order_status=F.lit("1001")),
                    row(id=key, user_id=user, province_id=province, order_status=done, operate_time=operate,
                        create_time=ms, total_amount=F.col("total")), ms),
@@ -778,9 +779,14 @@ class Inputs:
                    row(id=key + 7, order_id=key, sku_id=F.when(key % 3 == 0, F.lit(-1)).otherwise(key % 1000),
                        payment_type=F.concat(F.lit("110"), key % 6 + 1), callback_time=operate,
                        total_amount=F.col("total"), refund_status=F.lit("1602")), ms + 120_000,
-                   (status == "O") & (key % 2 == 0)))
-        every = F.filter(F.concat(lines, rest), lambda c: c.isNotNull())
-        return o.select(F.explode(every).alias("c")).select(F.to_json("c").alias("value"))
+                   (status == "O") & (key % 2 == 0))]
+        names = ["order_info", "order_detail_activity", "order_detail_coupon", "payment_info", "order_refund_info",
+                 "refund_payment"]
+        wanted = [c for name, c in zip(names, rest) if not tables or name in tables]
+        parts = [F.filter(F.array(*wanted), lambda c: c.isNotNull())] if wanted else []
+        if not tables or "order_detail" in tables:
+            parts.append(lines)
+        return o.select(F.explode(F.concat(*parts)).alias("c")).select(F.to_json("c").alias("value"))
 
     @staticmethod
     def cart_changes(events: DataFrame) -> DataFrame:

@@ -63,3 +63,12 @@ def pick_by_remainder(number: Column, modulus: int, bounds: list[tuple[int, str]
 def json_paths(log: Column, paths: Mapping[str, str]) -> list[Column]:
     """Ad-hoc extraction of single paths; use `from_json` when many are needed."""
     return [F.get_json_object(log, path).alias(name) for name, path in paths.items()]
+
+
+def parsed_once(record: Column, keep) -> Column:
+    """Generator of the record if `keep(record)` holds, else of no row.
+
+    Use it as `df.select(F.inline(parsed_once(...)))`. A filter on a parsed column would be
+    pushed below the projection and parse the text a second time; a generator is not.
+    """
+    return F.filter(F.array(record), keep)

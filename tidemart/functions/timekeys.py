@@ -23,10 +23,8 @@ def millis_text(ms: Column, pattern: str = SECOND) -> Column:
 
 
 def from_iso(text: Column) -> Column:
-    """`2020-01-02T03:04:05…` text to timestamp, dropping fraction and zone."""
-    return F.try_to_timestamp(
-        F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 8)), F.lit(SECOND)
-    )
+    """`2020-01-02T03:04:05…` text to timestamp, dropping fraction and zone; bad text gives NULL."""
+    return F.substring(text, 1, 19).try_cast("timestamp")
 
 
 def iso_text(text: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas
-from ..functions.timekeys import from_millis, local_time
+from ..functions.keys import parsed_once
+from ..functions.timekeys import local_time
 from ..operators.joins import attach
 from ..operators.latest import latest_per_key
 
@@ -93,9 +94,14 @@ def favor_add_fact(favors: DataFrame) -> DataFrame:
         F.to_date("create_time").alias("dt"))
 
 
-def parsed_log(raw: DataFrame) -> DataFrame:
-    """One parse per log line; unparseable lines have a NULL record."""
-    return raw.withColumn("rec", F.from_json("log", schemas.PAGE_LOG, {"mode": "PERMISSIVE"}))
+# Page views need the common and page parts only; the other parts are not built.
+VIEW_LOG = T.StructType([schemas.PAGE_LOG[name] for name in ("common", "page", "ts")])
+
+
+def parsed_views(raw: DataFrame) -> DataFrame:
+    """Log lines with a page part, parsed once; unparseable lines have none."""
+    record = F.from_json("log", VIEW_LOG, {"mode": "PERMISSIVE"})
+    return raw.select("dt", F.inline(parsed_once(record, lambda r: r["page"].isNotNull())))
 
 
 _DEVICE = {"channel": "ch", "province_id": "ar", "version_code": "vc", "mid_id": "mid", "brand": "ba",
@@ -104,13 +110,12 @@ _DEVICE = {"channel": "ch", "province_id": "ar", "version_code": "vc", "mid_id":
 
 def page_view_fact(raw: DataFrame) -> DataFrame:
     """Page views from JSON log lines."""
-    rec = parsed_log(raw).filter(F.col("rec.page").isNotNull())
-    seen = from_millis(F.col("rec.ts"))
-    return rec.select(
-        *[F.col(f"rec.common.{src}").alias(out) for out, src in
+    seen = F.timestamp_millis("ts")
+    return parsed_views(raw).select(
+        *[F.col(f"common.{src}").alias(out) for out, src in
           {**_DEVICE, "is_new": "is_new", "user_id": "uid", "session_id": "sid"}.items()],
-        F.col("rec.page.item").alias("page_item"), F.col("rec.page.item_type").alias("page_item_type"),
-        *[F.col(f"rec.page.{c}").alias(c) for c in
+        F.col("page.item").alias("page_item"), F.col("page.item_type").alias("page_item_type"),
+        *[F.col(f"page.{c}").alias(c) for c in
           ("last_page_id", "page_id", "from_pos_id", "from_pos_seq", "refer_id", "during_time")],
         F.to_date(seen).alias("date_id"), seen.alias("view_time"), F.col("dt"))
 

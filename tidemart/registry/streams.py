@@ -41,8 +41,8 @@ def log_stream(t: Inputs) -> DataFrame:
     return Inputs.shape_log(events(t)).select(F.col("log").alias("value"))
 
 
-def changes(t: Inputs) -> DataFrame:
-    return cdc.parse(Inputs.change_log(t.raw_stream("orders")))
+def changes(t: Inputs, *tables: str) -> DataFrame:
+    return cdc.parse(Inputs.change_log(t.raw_stream("orders"), *tables))
 
 
 def timed(df: DataFrame, millis: str, out: str) -> DataFrame:
@@ -262,8 +262,7 @@ def _(t):
 @query("stream_order_cancel", f"""SELECT id, {_LINE.replace('user_id', 'NULL::VARCHAR user_id').replace('province_id', 'NULL::VARCHAR province_id')}, split_total_amount,
     strftime(ordered + INTERVAL 2 HOUR,'%Y-%m-%d') date_id, (ms+7200000)::VARCHAR operate_time, ms ts_ms FROM c_line WHERE o_orderstatus='P'""")
 def _(t):
-    log = changes(t)
-    out = trade.cancelled_lines(joined_lines(t, log), trade.cancellations(changes(t)), timed, "30 MINUTES", "30 MINUTES")
+    out = trade.cancelled_lines(joined_lines(t, changes(t, "order_detail")), trade.cancellations(changes(t, "order_info")), timed, "30 MINUTES", "30 MINUTES")
     return run(t, out, "cancel")
 
 
@@ -272,7 +271,7 @@ def _(t):
     FROM c_line JOIN c_dic d ON d.dic_code='110'||(o_orderkey%6+1) WHERE o_orderstatus='F' AND abs(n*2000 - o_orderkey%10*1000) <= 5000""")
 def _(t):
     dic = trade.keyed_dictionary(t.dictionary)
-    out = trade.paid_lines(trade.payments(changes(t)), joined_lines(t, changes(t)), dic, timed)
+    out = trade.paid_lines(trade.payments(changes(t, "payment_info")), joined_lines(t, changes(t, "order_detail")), dic, timed)
     return run(t, out, "payment")
 
 
@@ -282,7 +281,7 @@ def _(t):
     epoch_ms(ordered)+60000 ts_ms FROM heads JOIN c_dic a ON a.dic_code='150'||(o_orderkey%5+1) JOIN c_dic b ON b.dic_code='130'||(o_orderkey%6+1) WHERE o_orderstatus='O'""")
 def _(t):
     dic = trade.keyed_dictionary(t.dictionary)
-    out = trade.requested_refunds(trade.refund_requests(changes(t)), trade.order_rows(changes(t)), dic, timed,
+    out = trade.requested_refunds(trade.refund_requests(changes(t, "order_refund_info")), trade.order_rows(changes(t, "order_info")), dic, timed,
                                   "30 MINUTES", "30 MINUTES")
     return run(t, out, "refund")
 
@@ -298,8 +297,8 @@ def _register_paid_refund(name: str, how: str) -> None:
     @query(name, _paid_refund_sql(how))
     def _(t):
         dic = trade.keyed_dictionary(t.dictionary)
-        out = trade.paid_refunds(trade.refund_payments(changes(t)), trade.finished_refunds(changes(t)),
-                                 trade.refunded_orders(changes(t)), dic, timed, "30 MINUTES", "30 MINUTES", names=how.lower())
+        out = trade.paid_refunds(trade.refund_payments(changes(t, "refund_payment")), trade.finished_refunds(changes(t, "order_refund_info")),
+                                 trade.refunded_orders(changes(t, "order_info")), dic, timed, "30 MINUTES", "30 MINUTES", names=how.lower())
         return run(t, out, "paid_refund")
 
 

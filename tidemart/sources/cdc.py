@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
+from ..functions.keys import parsed_once
 
 
 def parse(rows: DataFrame, value: str = "value") -> DataFrame:
     """Envelope columns of JSON messages; unreadable ones have no `op` and are dropped."""
-    return rows.select(F.from_json(value, schemas.CDC).alias("e")).select("e.*").filter(F.col("op").isNotNull())
+    return rows.select(F.inline(parsed_once(F.from_json(value, schemas.CDC), lambda e: e["op"].isNotNull())))
 
 
 def of_table(changes: DataFrame, *tables: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..functions.keys import parsed_once
+
 LOAD_ROWS, LOAD_SECONDS = 300_000, 30
 
 
@@ -34,7 +36,7 @@ def as_text(rows: DataFrame) -> DataFrame:
 
 def as_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Message fields; unreadable messages are dropped (see streaming.ingest for the dirty branch)."""
-    return rows.select(F.from_json("value", schema).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+    return rows.select(F.inline(parsed_once(F.from_json("value", schema), lambda r: r.isNotNull())))
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:

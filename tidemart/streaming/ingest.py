@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas
+from ..functions.keys import parsed_once
 from ..functions.timekeys import from_millis
 
 LOG_DELAY, CHANGE_DELAY = "3 seconds", "5 seconds"
@@ -20,7 +21,7 @@ def parse_records(rows: DataFrame, schema: T.StructType, value: str = "value") -
 
 
 def clean(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("rec").isNotNull()).select("rec.*")
+    return parsed.select(F.inline(parsed_once(F.col("rec"), lambda r: r.isNotNull())))
 
 
 def dirty(parsed: DataFrame, value: str = "value") -> DataFrame:
