@@ -18,18 +18,21 @@ from .retail import log_day
 
 # The tables hold years of history in one batch, so keyed tables use one wide time slice.
 HISTORY_MS = 86_400_000 * 36_500
+# A run over the available data that takes longer than this is reported instead of waited for.
+RUN_SECONDS = 6 * 3600
 
 
 def run(t: Inputs, stream: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Result table of a stream after all available input."""
     root = scratch_path(t.spark, name)
-    runner.finish(runner.to_table(stream, f"{root}/out", f"{root}/checkpoint", once=True, partition_by=partition_by))
+    runner.finish(runner.to_table(stream, f"{root}/out", f"{root}/checkpoint", once=True, partition_by=partition_by),
+                  RUN_SECONDS)
     return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
 def run_batches(t: Inputs, stream: DataFrame, step, name: str, mode: str = "append") -> None:
     root = scratch_path(t.spark, name)
-    runner.finish(runner.per_batch(stream, step, f"{root}/checkpoint", once=True, mode=mode))
+    runner.finish(runner.per_batch(stream, step, f"{root}/checkpoint", once=True, mode=mode), RUN_SECONDS)
 
 
 def events(t: Inputs) -> DataFrame:
