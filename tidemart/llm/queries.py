@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe
 from .store import table
 from .superminhash import near_duplicates
 
@@ -22,3 +24,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: five-word shingles, similarity 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+
+
+@query
+def op5_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents and the texts decoded from them, as digests."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
