@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, suffixes
 from .store import table
 from .superminhash import near_duplicates
 
@@ -30,3 +30,9 @@ def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents and the texts decoded from them, as digests."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op1_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word benchmark windows that occur in each document, and its longest verbatim match."""
+    return suffixes.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
