@@ -152,7 +152,12 @@ class Bpe:
 def load(path: str) -> tuple[Bpe, PieceIds]:
     with open(path, "rb") as file:
         bpe = Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, file)})
-    return bpe, PieceIds(bpe.encode)
+
+    def encode(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = bpe.encode(parts)
+        return np.fromiter((x for own in ids for x in own), dtype=np.int64), np.array([len(own) for own in ids])
+
+    return bpe, PieceIds(encode)
 
 
 def _checked(bpe: Bpe, pieces: PieceIds, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, bytes]]:

@@ -67,9 +67,12 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class PieceIds:
-    """Token ids of chunks, with `encode` called on distinct pieces only."""
+    """Token ids of chunks, with `encode` called on distinct pieces only.
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
+    `encode` gives the ids of all its pieces in a row, and the number of ids of each piece.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode, self.known = encode, {}
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +90,12 @@ class PieceIds:
         new = [k for k, h in enumerate(keys) if h not in known]
         if new:
             pieces = [data[s:e].tobytes() for s, e in zip(starts[first[new]], ends[first[new]], strict=True)]
-            for k, ids in zip(new, self.encode(pieces), strict=True):
-                known[keys[k]] = np.array(ids, dtype="<u4").tobytes()
+            ids, counts = self.encode(pieces)
+            ids, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            begin = 0
+            for k, stop in zip(new, stops, strict=True):
+                known[keys[k]] = ids[begin:stop]
+                begin = stop
         parts = [known[h] for h in keys]
         length = np.array([len(p) for p in parts], dtype=np.int64) >> 2
         flat = np.frombuffer(b"".join(parts), dtype="<u4")

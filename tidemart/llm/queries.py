@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, suffixes
+from . import bpe, grammar, suffixes
 from .store import table
 from .superminhash import near_duplicates
 
@@ -36,3 +36,9 @@ def op5_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word benchmark windows that occur in each document, and its longest verbatim match."""
     return suffixes.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+@query
+def op6_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in Re-Pair compressed files, listed as read back from them."""
+    return grammar.indexed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
