@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, grammar, suffixes
+from . import bpe, fertility, grammar, suffixes
 from .store import table
 from .superminhash import near_duplicates
 
@@ -42,3 +42,12 @@ def op1_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in Re-Pair compressed files, listed as read back from them."""
     return grammar.indexed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the fertility bands for all documents."""
+    rows = fertility.ruled(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), carry=["doc_id", "lang"])
+    return rows.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                       "chars_per_piece", "chars_per_rank", "entropy", "script")
