@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fertility, grammar, suffixes
+from . import bpe, fertility, grammar, subsequence, suffixes
 from .store import table
 from .superminhash import near_duplicates
 
@@ -51,3 +51,11 @@ def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), carry=["doc_id", "lang"])
     return rows.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                        "chars_per_piece", "chars_per_rank", "entropy", "script")
+
+
+@query
+def op2_subsequence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; a quarter of the labels is held out."""
+    rows = subsequence.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return rows.select("row.doc_id", (F.crc32(F.col("row.doc_id").cast("string")) % 4 == 2).alias("held_out"), "score",
+                       (F.col("score") >= 0.3).cast("int").alias("predicted"), "worst")
