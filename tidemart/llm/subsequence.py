@@ -40,6 +40,7 @@ CANDIDATES = 3000            # words of toxic texts that may become positive
 LETTERS = 16                 # a longer word is read in windows of so many letters
 SPAN = 5                     # letters from the first to the last of a subsequence
 DECAY = 0.6                  # discount per letter skipped
+CUT = 0.3                    # score from which a text counts as toxic
 CACHED = 600_000
 #: Digits and signs that stand for letters inside a word.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -362,17 +363,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
 
 
 def _scaled(machine: Machine, margin: np.ndarray, toxic: np.ndarray) -> Machine:
-    """Slope and offset of the logistic score, fitted to the labels of the texts."""
-    x = np.stack([margin, np.ones(len(margin))], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (toxic - p) - 1e-3 * w)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return Machine(machine.weights, float(max(w[0], 1e-6)), float(w[1]))
+    """Logistic score that is CUT where the labelled texts are told apart with the fewest errors.
+
+    Of equally good places the widest gap counts, a third of the way up; the slope lets half of the toxic
+    texts above it score 0.95 or more.
+    """
+    value, place = np.unique(margin, return_inverse=True)
+    bad, good = (np.bincount(place, weights=w, minlength=len(value)) for w in (toxic, 1 - toxic))
+    errors = np.cumsum(bad)[:-1] + good.sum() - np.cumsum(good)[:-1]   # a cut above each value but the last
+    if not len(errors) or errors.min() >= min(bad.sum(), good.sum()):
+        return Machine(machine.weights)
+    gaps = np.diff(value)
+    best = max(np.flatnonzero(errors == errors.min()), key=lambda k: gaps[k])
+    cut = value[best] + gaps[best] / 3
+    far = max(float(np.median(margin[(toxic > 0) & (margin > cut)])) - cut, 1e-3)
+    low, high = (float(np.log(p / (1 - p))) for p in (CUT, 0.95))
+    slope = (high - low) / far
+    return Machine(machine.weights, slope, low - slope * cut)
 
 
 def scored(docs: DataFrame, labels: DataFrame, carry: list[str], held_out: int = 2, folds: int = 4) -> DataFrame:
