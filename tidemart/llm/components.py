@@ -27,6 +27,16 @@ def union_find(pairs: list[tuple]) -> dict:
     return {x: root(x) for x in parent}
 
 
+FEW = 100_000   # links that one task may join
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over all links of a task."""
+    batches = list(batches)
+    if batches:
+        yield from _local(iter([pa.Table.from_batches(batches).combine_chunks().to_batches()[0]]))
+
+
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one Arrow batch: one link to the root for each node."""
     for batch in batches:
@@ -39,14 +49,17 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the links (a, b); root is the smallest node reachable.
 
-    Each round every node points itself and its larger neighbours to the smallest one it knows
-    (large star), then its smaller neighbours (small star), until nothing changes. Links are
-    first shortened by union-find inside each batch. A star's centre is met in a join or a
-    partial minimum only, so a hot one never needs all its links in one task.
+    Links are first shortened by union-find inside each batch. Up to FEW are then joined in one
+    task. With more, every node points itself and its larger neighbours to the smallest one it
+    knows (large star), then its smaller neighbours (small star), until nothing changes. A star's
+    centre is met in a join or a partial minimum only, so a hot one never needs all its links in
+    one task.
     """
     kind = edges.schema["a"].dataType.simpleString()
-    links = edges.select("a", "b").mapInArrow(_local, f"a {kind}, b {kind}")
-    links = written(links.where("a <> b").distinct(), "links")
+    links = written(edges.select("a", "b").mapInArrow(_local, f"a {kind}, b {kind}"), "links")
+    if links.count() <= FEW:
+        return written(_ended(links.coalesce(1).mapInArrow(_whole, f"a {kind}, b {kind}")), "roots")
+    before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -54,10 +67,14 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(large.where("a <> b").distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        small = written(small.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "small")
-        if small.exceptAll(links).isEmpty() and small.count() == links.count():
-            break
-        links = small
-    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        links = written(small.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "small")
+        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            return written(_ended(links), "roots")
+        before = now
+
+
+def _ended(links: DataFrame) -> DataFrame:
+    """Links from each node to its root, and from each root to itself."""
     own = links.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
-    return written(roots.unionByName(own), "roots")
+    return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(own)

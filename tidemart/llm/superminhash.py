@@ -225,9 +225,9 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85) -> tuple[DataFrame,
         star, far = _star(open_rows, known, sets, percent)
         hits = star.where("linked").select(F.col("centre").alias("a"), F.col("cls").alias("b"))
         found = hits if found is None else found.unionByName(hits)
-        pairs, parts = _torn(star, components(found), percent)
-        found = written(found.unionByName(pairs).distinct(), "links")
         roots = components(found)
+        pairs, parts = _torn(star, roots, percent)
+        found = written(found.unionByName(pairs).distinct(), "links")
         pop = known.select("cls", "pop")
         parts = _centred(_open(parts.join(pop, "cls").select("key", "cls", "pop"), roots))
         far = _open(far.join(pop, "cls").select("key", "cls", "pop"), roots)
