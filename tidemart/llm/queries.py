@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fertility, grammar, subsequence, suffixes
+from . import bpe, chat, fertility, grammar, mainblocks, subsequence, suffixes
 from .store import table
 from .superminhash import near_duplicates
 
@@ -59,3 +59,18 @@ def op2_subsequence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = subsequence.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return rows.select("row.doc_id", (F.crc32(F.col("row.doc_id").cast("string")) % 4 == 2).alias("held_out"), "score",
                        (F.col("score") >= 0.3).cast("int").alias("predicted"), "worst")
+
+
+@query
+def op9_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return mainblocks.extracted(table(spark, sf_dir, "pages")).select("row.page_id", "row.url", "text", "n_chars")
+
+
+@query
+def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted for training, as read back from the formatted text."""
+    return chat.digests(chat.with_trap(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op3_chat_round_trip"] = chat.ORACLE
