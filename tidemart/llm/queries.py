@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, fertility, grammar, mainblocks, subsequence, suffixes
+from . import bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel
 from .store import table
 from .superminhash import near_duplicates
 
@@ -74,3 +74,18 @@ def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_chat_round_trip"] = chat.ORACLE
+
+
+@query
+def op4_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from heuristic labellers alone."""
+    rows = weaklabel.scored(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return rows.select("row.doc_id", "posterior", "score", (F.col("score") >= weaklabel.KEEP).alias("kept"))
+
+
+@query
+def op10_licence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents: share of the template and place in the text, one row per match."""
+    rows = licences.scanned(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return rows.select("row.doc_id", "n_words", F.explode("found").alias("f")).select(
+        "doc_id", "n_words", "f.licence", "f.coverage", "f.matched", "f.begin_word", "f.end_word", "f.begin_char", "f.end_char")
