@@ -201,8 +201,8 @@ def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], la
     rows = measured(docs, piece_path, rank_path, carry)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = written(rows.select(
-        "*", (F.col("word_chars") / F.col("n_pieces")).alias("chars_per_piece"),
-        (F.col("word_chars") / F.col("n_ranks")).alias("chars_per_rank"), failed.alias("base_failed"),
+        "*", F.try_divide("word_chars", "n_pieces").alias("chars_per_piece"),
+        F.try_divide("word_chars", "n_ranks").alias("chars_per_rank"), failed.alias("base_failed"),
         (F.col(f"row.`{lang}`").cast("string") if lang in carry else F.lit(None).cast("string")).alias("language")), "measured")
     for key in ("language", "script"):
         bands = _bands(rows, key)
@@ -214,7 +214,7 @@ def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], la
             (F.col("n_pieces") < LONG) | (F.col("entropy") >= least_bits))
     for measure, tokens in (("chars_per_piece", "n_pieces"), ("chars_per_rank", "n_ranks")):
         band = F.coalesce(F.col(f"language_{measure}"), F.col(f"script_{measure}"))
-        width = WIDTH * band["spread"] * F.sqrt(1 + SHORT / F.col(tokens))
+        width = WIDTH * band["spread"] * F.sqrt(1 + F.try_divide(F.lit(SHORT), F.col(tokens)))
         inside = inside & (band.isNull() | (F.abs(F.col(measure) - band["middle"]) <= width))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return rows.select("row", *COUNTS, "entropy", "script", "chars_per_piece", "chars_per_rank", "base_failed", kept.alias("kept"))

@@ -221,7 +221,8 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85) -> tuple[DataFrame,
     while True:
         open_rows = written(open_rows, "open")
         if open_rows.isEmpty():
-            return rows.select("doc_id", "n_shingles", "cls"), found
+            none = open_rows.select(F.col("centre").alias("a"), F.col("cls").alias("b"))
+            return rows.select("doc_id", "n_shingles", "cls"), none if found is None else found
         star, far = _star(open_rows, known, sets, percent)
         hits = star.where("linked").select(F.col("centre").alias("a"), F.col("cls").alias("b"))
         found = hits if found is None else found.unionByName(hits)
