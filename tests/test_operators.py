@@ -110,29 +110,37 @@ def test_last_seen_counts_equal_distinct_counts(visits):
     assert got["n_1d"] == want and got["n_7d"] == rows.filter("dt <= '2024-01-03'").agg(F.count_distinct("m")).first()[0]
 
 
-def test_member_lists_keep_all_members_in_parts(spark):
+def test_members(spark):
     df = spark.createDataFrame([("hot", i % 500) for i in range(3000)] + [("k", 1), ("k", 1), ("k", None)], "g string, m bigint")
-    parts = lists.member_lists(df, ["g"], F.col("m"), "ms", part_items=50).collect()
-    hot = [r["ms"] for r in parts if r["g"] == "hot"]
-    assert len(hot) == 10 and sorted(x for p in hot for x in p) == list(range(500))
-    assert [r["ms"] for r in parts if r["g"] == "k"] == [[1]]
+    got = lists.members(df, ["g"], F.col("m"), "m").collect()
+    assert sorted(r["m"] for r in got if r["g"] == "hot") == list(range(500)) and [r["m"] for r in got if r["g"] == "k"] == [1]
+    assert {r["g"]: r["n"] for r in lists.member_counts(df, ["g"], F.col("m"), "n").collect()} == {"hot": 500, "k": 1}
 
 
-def test_paths_and_segments(spark):
+def test_paths_of_any_length(spark):
     t = lambda m: dt.datetime(2024, 1, 1, 0, m)
     jumps = spark.createDataFrame(
         [("v", "p1", "home", "p2", "list", t(1), 1), ("v", "p2", "list", "p3", "item", t(2), 2), ("w", "p1", "home", "p1", "home", t(5), 1)],
         "visitor_id string, source_page_id string, source_page_type string, target_page_id string, target_page_type string, "
         "jump_time timestamp, visit_sequence int")
-    visits = paths.page_visits(jumps, F.to_date("jump_time"))
-    whole = {r["visitor_id"]: r for r in paths.visitor_paths(visits).collect()}
-    assert whole["v"]["full_path"] == "home->list->list->item" and whole["v"]["path_length"] == 3
-    assert whole["w"]["full_path"] == "home" and whole["w"]["path_length"] == 0
-    cut = sorted((r for r in paths.visitor_paths(visits, segment_steps=3).collect() if r["visitor_id"] == "v"),
-                 key=lambda r: r["segment_no"])
-    assert [r["full_path"] for r in cut] == ["home->list->list", "item"]
-    steps = [p["step"] for r in cut for p in r["path_sequence"]]
-    assert steps == [1, 2, 3, 4]
+    steps = paths.path_steps(paths.page_visits(jumps, F.to_date("jump_time")), slice_seconds=30)
+    assert [r["page_type"] for r in steps.filter("visitor_id = 'v'").orderBy("step").collect()] == ["home", "list", "list", "item"]
+    ends = {r["visitor_id"]: r for r in paths.path_ends(steps).collect()}
+    assert (ends["v"]["path_length"], ends["v"]["first_page_id"], ends["v"]["last_page_id"]) == (3, "p1", "p3")
+    assert (ends["w"]["path_length"], ends["w"]["last_page_type"]) == (0, "home")
+
+
+def test_equal_sort_keys_give_one_path(spark):
+    """Rows equal in time and tiebreak: each step's next is the page that stands at that step."""
+    t = lambda s: dt.datetime.fromtimestamp(s, dt.timezone.utc)
+    views = spark.createDataFrame([("s", "a", t(3599), 0), ("s", "z", t(3600), 0), ("s", "b", t(3600), 0), ("s", "c", t(3700), 0)],
+                                  "sid string, page string, ts timestamp, k int")
+    got = {r["source"]: r["target"] for r in paths.step_pairs(views, "sid", "page", "ts", ["k"]).collect()}
+    walk, at = [], min(got)
+    while at != "null":
+        walk.append(at)
+        at = got[at]
+    assert walk == ["step-1:a", "step-2:b", "step-3:z", "step-4:c"]
 
 
 def test_step_pairs(spark):
@@ -154,11 +162,16 @@ def test_merge_versions(spark):
         (3, "c", d("2024-01-01"), end), (4, "d", d("2024-02-01"), end)]
     again = history.merge_versions(merged, new, ["id"], ["v"], F.lit(d("2024-02-02")))
     assert rows_of(again) == rows_of(merged)
+    later = spark.createDataFrame([(1, "a"), (2, "X"), (4, "d")], "id bigint, v string")
+    same_day = history.merge_versions(merged, later, ["id"], ["v"], F.lit(d("2024-02-01")))
+    assert [r for r in rows_of(same_day) if r[0] == 2] == [(2, "X", d("2024-02-01"), end), (2, "b", d("2024-01-01"), d("2024-01-31"))]
+    assert same_day.filter("start_date > end_date").count() == 0
 
 
 def test_versions_from_changes_do_not_overlap(visits):
     out = history.versions_from_changes(visits.select("key", "ts", "id"), ["key"], "ts", ["id"])
-    assert out.count() == visits.count()
+    assert out.count() == visits.select("key", F.to_date("ts")).distinct().count()
+    assert out.filter("start_date > end_date").count() == 0
     assert out.filter("end_date = '9999-12-31'").count() == visits.select("key").distinct().count()
 
 

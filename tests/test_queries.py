@@ -40,7 +40,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-@pytest.mark.parametrize("name", ["stream_dirty_logs", "stream_interval_join_5min", "stream_dimension_sync"])
+@pytest.mark.parametrize("name", ["stream_dirty_logs", "stream_interval_join_5min", "stream_dimension_sync", "stream_newer_only", "stream_repair_is_new"])
 def test_stream_equals_sql(spark, con, name):
     test_query_equals_sql(spark, con, name)
 
@@ -49,5 +49,6 @@ def test_flagship(spark):
     assert entry.entry(spark).columns[0] in ("tm_id", "dt", "recent_days")
 
 
-def test_only_probabilistic_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"stream_bloom_dedup"}
+def test_registered_queries_have_sql():
+    from tidemart.registry.base import ORACLES as own_sql, QUERIES as own
+    assert set(own) == set(own_sql)

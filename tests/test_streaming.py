@@ -2,11 +2,13 @@
 
 import json
 import os
+import random
 
 from pyspark.sql import functions as F, types as T
 
 from tidemart import schemas
-from tidemart.sources import cdc
+from tidemart.sources import cdc, kafka
+from tidemart.sources.upsert import UpsertTable
 from tidemart.streaming import dedup, dimsync, ingest, joins, logsplit, runner, trade, visitors
 
 
@@ -32,38 +34,87 @@ FLAGS = T.StructType([T.StructField("mid", T.StringType()), T.StructField("ts",
 DAY = visitors.DAY_MS
 
 
+def flags_over(spark, folder, stream, retention_ms=None):
+    schema = T.StructType().add("mid", "string").add("first_day", "long").add("last_ts", "long")
+    store = UpsertTable(spark, f"{folder}/first", schema, ["mid"], version="last_ts", retention_ms=retention_ms)
+    runner.finish(runner.per_batch(stream, visitors.repair_is_new_step(store, f"{folder}/out"), f"{folder}/check", once=True))
+    return sorted(tuple(r) for r in spark.read.schema(FLAGS).parquet(f"{folder}/out").select("mid", "ts", "is_new").collect())
+
+
 def test_new_visitor_flag_over_batches(spark, folder):
     batches = [[dict(mid="a", ts=10, is_new="1"), dict(mid="b", ts=10 + DAY, is_new="0")],
                [dict(mid="a", ts=20, is_new="1"), dict(mid="a", ts=DAY + 5, is_new="1"), dict(mid="b", ts=20 + DAY, is_new="1")]]
-    out = collect(spark, folder, visitors.repair_is_new(stream_of(spark, folder, "in", batches, FLAGS)))
-    got = sorted(tuple(r) for r in out.collect())
+    got = flags_over(spark, folder, stream_of(spark, folder, "in", batches, FLAGS))
     assert got == [("a", 10, "1"), ("a", 20, "1"), ("a", DAY + 5, "0"), ("b", 10 + DAY, "0"), ("b", 20 + DAY, "0")]
     batch = spark.createDataFrame([tuple(r.values()) for b in batches for r in b], FLAGS)
     assert sorted(tuple(r) for r in visitors.repair_is_new_batch(batch).collect()) == got
 
 
+def test_new_visitor_flag_with_one_key_and_small_arrow_batches(spark, folder):
+    rng = random.Random(5)
+    rows = [("hot", n * DAY // 7 + rng.randrange(1000), rng.choice("01")) for n in range(80)]
+    parts = [rows[k:k + 20] for k in range(0, 80, 20)]
+    for p in parts:
+        rng.shuffle(p)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        got = flags_over(spark, folder, stream_of(spark, folder, "in", [[dict(zip(FLAGS.names, r)) for r in p] for p in parts], FLAGS))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(tuple(r) for r in visitors.repair_is_new_batch(spark.createDataFrame(rows, FLAGS)).collect())
+
+
+def test_idle_visitor_is_forgotten(spark, folder):
+    batches = [[dict(mid="a", ts=10, is_new="1")], [dict(mid="a", ts=20 * DAY, is_new="1"), dict(mid="b", ts=20 * DAY, is_new="1")]]
+    got = flags_over(spark, folder, stream_of(spark, folder, "in", batches, FLAGS), retention_ms=5 * DAY)
+    assert got == [("a", 10, "1"), ("a", 20 * DAY, "1"), ("b", 20 * DAY, "1")]
+
+
 ROW = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.LongType()), T.StructField("n", T.LongType())])
 
 
+def newer_over(spark, folder, batches):
+    schema = T.StructType().add("k", "long").add("t", "long")
+    store = UpsertTable(spark, f"{folder}/newest", schema, ["k"], version="t")
+    stream = stream_of(spark, folder, "in", [[dict(zip("ktn", r)) for r in b] for b in batches], ROW)
+    step = dedup.newer_only_step(store, f"{folder}/out", "k", "t", "n", slice_rows=7)
+    runner.finish(runner.per_batch(stream, step, f"{folder}/check", once=True))
+    return sorted(tuple(r) for r in spark.read.schema(ROW).parquet(f"{folder}/out").select("k", "t", "n").collect())
+
+
 def test_newer_only_over_batches(spark, folder):
     rows = [(1, 5, 0), (1, 3, 1), (1, 7, 2), (2, 1, 3), (1, 7, 4), (1, 8, 5), (2, 1, 6), (2, 2, 7)]
-    dicts = [dict(zip("ktn", r)) for r in rows]
-    out = collect(spark, folder, dedup.newer_only(stream_of(spark, folder, "in", [dicts[:4], dicts[4:]], ROW), "k", "t", "n"))
     want = dedup.newer_only_batch(spark.createDataFrame(rows, ROW), ["k"], "t", "n", slice_rows=2)
-    got = sorted(tuple(r) for r in out.collect())
+    got = newer_over(spark, folder, [rows[:4], rows[4:]])
     assert got == sorted(tuple(r) for r in want.collect()) == [(1, 5, 0), (1, 7, 2), (1, 8, 5), (2, 1, 3), (2, 2, 7)]
 
 
-def test_bloom_lets_no_repeat_pass(spark, folder):
-    dicts = [dict(k=i % 300, t=0, n=0) for i in range(900)]
-    stream = stream_of(spark, folder, "in", [dicts[:400], dicts[400:]], ROW)
-    out = [r["k"] for r in collect(spark, folder, dedup.bloom(stream, [F.col("k")], 10_000, 0.001, shards=4)).collect()]
-    assert len(out) == len(set(out)) and len(out) >= 297
-
-
-def test_bloom_size():
-    bits, functions = dedup.bloom_size(1000, 0.01)
-    assert 9000 < bits < 10000 and functions == 7
+def test_newer_only_with_one_key_and_small_arrow_batches(spark, folder):
+    rng = random.Random(6)
+    rows = [(1, rng.randrange(300), n) for n in range(80)]
+    parts = [rows[k:k + 20] for k in range(0, 80, 20)]
+    for p in parts:
+        rng.shuffle(p)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        got = newer_over(spark, folder, parts)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    top, want = -1, []
+    for r in sorted(rows, key=lambda r: r[2]):
+        if r[1] > top:
+            want.append(r)
+        top = max(top, r[1])
+    assert got == sorted(want)
+
+
+def test_unreadable_messages_are_set_aside(spark):
+    schema = T.StructType().add("id", "long")
+    rows = spark.createDataFrame([('{"id": 1}',), ("no json",), ('{"id": "x"}',)], "value string")
+    assert [r.id for r in kafka.as_records(rows, schema).collect()] == [1]
+    assert {r.value for r in kafka.unreadable(rows, schema).collect()} == {"no json", '{"id": "x"}'}
+    changes = spark.createDataFrame([('{"op": "c", "after": {"id": "1"}}',), ("{}",), ("x",)], "value string")
+    assert cdc.parse(changes).count() == 1 and cdc.unreadable(changes).count() == 2
 
 
 def test_exact_dedup_within_watermark(spark, folder):

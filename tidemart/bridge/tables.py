@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..session import tuned
+from ..session import scratch_path, tuned
 
 TRADE_DAY = "2001-07-31"
 LOG_DAY = "2024-01-30"
@@ -44,6 +44,27 @@ class Inputs:
         return (self.spark.readStream.schema(self.raw(name).schema)
                 .option("pathGlobFilter", f"{name}.parquet").parquet(self.folder))
 
+    def batches(self, name: str, order: str, least: int = 4, most_rows: int = 5_000_000) -> DataFrame:
+        """The table as a stream of micro-batches: ranges of `order`, in that order, each unsorted.
+
+        All rows come, one file of a range per batch; NULL goes with the first range. There are
+        so many ranges that a file has about `most_rows` rows.
+        """
+        table = self.raw(name)
+        parts = max(least, -(-table.count() // most_rows))
+        rank = F.col(order)
+        if "timestamp" in table.schema[order].dataType.simpleString():
+            rank = rank.cast("timestamp")
+        rank = rank.cast("double")
+        cuts = table.select(F.percentile_approx(rank, [k / parts for k in range(1, parts)], 1000)).first()[0] or []
+        path = scratch_path(self.spark, f"{name}-batches")
+        place = F.lit(0)
+        for cut in cuts:
+            place = place + F.coalesce((rank > cut).cast("int"), F.lit(0))
+        for k in range(parts):
+            table.filter(place == k).repartition(1, F.lit(k)).write.mode("append").parquet(path)
+        return self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
     # ---- base tables with plain types -------------------------------------------------
 
     @cached_property

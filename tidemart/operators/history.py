@@ -21,8 +21,8 @@ def merge_versions(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
                    tracked: Sequence[str], day: Column, open_end: str = OPEN_END) -> DataFrame:
     """History after a new snapshot.
 
-    A changed row closes its open version on the day before and opens a new one;
-    an unchanged or missing row stays as it is. Keys meet in one full outer join.
+    A changed row closes its open version on the day before and opens a new one; a version
+    that itself started on that day is replaced. An unchanged or missing row stays as it is. Keys meet in one full outer join.
     """
     columns = [*keys, *tracked]
     end = F.lit(open_end).cast("date")
@@ -43,6 +43,7 @@ def merge_versions(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
         row.alias("row"), start.alias("start_date"), stop.alias("end_date"))
     rows = F.when(gone | same, F.array(version(F.col("_old"), F.col("_old_start"), end))) \
         .when(fresh, F.array(version(F.col("_new"), day, end))) \
+        .when(F.col("_old_start") >= day, F.array(version(F.col("_new"), F.col("_old_start"), end))) \
         .otherwise(F.array(version(F.col("_old"), F.col("_old_start"), F.date_sub(day, 1)),
                            version(F.col("_new"), day, end)))
     current = pair.select(F.inline(rows)).select(
@@ -53,9 +54,14 @@ def merge_versions(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
 def versions_from_changes(changes: DataFrame, keys: Sequence[str], ts: str,
                           tiebreak: Sequence[str], open_end: str = OPEN_END,
                           slice_seconds: int = 86_400) -> DataFrame:
-    """Whole history from a change log: a version ends the day before the next starts."""
-    walked = in_sequence(changes, keys, ts, tiebreak, following={"_next_ts": ts},
+    """Whole history from a change log: the last change of a day counts, and a version ends the
+    day before the next starts."""
+    order = F.struct(ts, *tiebreak)
+    rest = [c for c in changes.columns if c not in (*keys, ts, *tiebreak)]
+    last = changes.groupBy(*keys, F.to_date(ts).alias("_day")).agg(
+        F.max(F.struct(order.alias("order"), *[F.col(c) for c in rest])).alias("_last"))
+    columns = [F.col(f"_last.order.{c}").alias(c) for c in (ts, *tiebreak)] + [F.col(f"_last.{c}").alias(c) for c in rest]
+    walked = in_sequence(last.select(*keys, *columns), keys, ts, tiebreak, following={"_next_ts": ts},
                          slice_seconds=slice_seconds)
-    return walked.withColumn("start_date", F.to_date(ts)).withColumn(
-        "end_date", F.coalesce(F.date_sub(F.to_date("_next_ts"), 1),
-                               F.lit(open_end).cast("date"))).drop("_next_ts")
+    return walked.select(*changes.columns, F.to_date(ts).alias("start_date"), F.coalesce(
+        F.date_sub(F.to_date("_next_ts"), 1), F.lit(open_end).cast("date")).alias("end_date"))

@@ -1,4 +1,4 @@
-"""Groups turned into lists of bounded length."""
+"""Members of groups, one row each: a group of any size never becomes one row."""
 
 from __future__ import annotations
 
@@ -6,22 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-PART_ITEMS = 10_000
 
+def members(df: DataFrame, keys: Sequence[str], member: Column, out: str) -> DataFrame:
+    """Distinct members per key that are not NULL."""
+    return df.select(*keys, member.alias(out)).dropna(subset=[out]).distinct()
 
-def member_lists(df: DataFrame, keys: Sequence[str], member: Column, out: str,
-                 part_items: int = PART_ITEMS) -> DataFrame:
-    """Sorted distinct members per key, in parts.
 
-    A key with at most `part_items` members has one row, part 0. A larger key is
-    split by member hash over as many rows as needed; nothing is dropped.
-    """
-    keys = list(keys)
-    pairs = df.select(*keys, member.alias("_member")).dropna(subset=["_member"]).distinct()
-    sizes = pairs.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / part_items).cast("bigint").alias("_parts"))
-    part = F.pmod(F.xxhash64("_member"), F.col("_parts"))
-    return (pairs.join(sizes, keys)
-            .withColumn("part_no", part)
-            .groupBy(*keys, "part_no")
-            .agg(F.array_sort(F.collect_list("_member")).alias(out)))
+def member_counts(df: DataFrame, keys: Sequence[str], member: Column, out: str) -> DataFrame:
+    """Number of distinct members per key."""
+    return members(df, keys, member, "_member").groupBy(*keys).agg(F.count(F.lit(1)).alias(out))

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut_lineage
+
 SLICE = "_slice"
 
 
@@ -37,41 +39,36 @@ def in_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[
                 slice_seconds: int = 3600) -> DataFrame:
     """Add the row's step number and values of the row that follows it.
 
-    Rows of a key are ordered by `ts`, then `tiebreak`. `following` maps an
-    output column to the column whose next value it takes.
+    Rows of a key are ordered by `ts`, then `tiebreak`, then the followed columns, so rows that
+    are equal in the order are equal in what is taken from them. `following` maps an output
+    column to the column whose next value it takes. The numbered rows are written once; the
+    links between slices are made from them, so both see one order and one input.
     """
     following = dict(following or {})
-    keys, order = list(keys), [ts, *tiebreak]
-    sliced = df.withColumn(SLICE, time_slice(F.col(ts), slice_seconds))
+    keys, order = list(keys), list(dict.fromkeys([ts, *tiebreak, *following.values()]))
     by_slice = W.partitionBy(*keys, SLICE).orderBy(*order)
     along = W.partitionBy(*keys).orderBy(SLICE)
-
     sources = list(dict.fromkeys(following.values()))
-    row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])
-    summary = sliced.groupBy(*keys, SLICE).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(row).alias("_first"))
+    values = F.struct(F.lit(1).alias("v"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])
+    work = df.withColumn(SLICE, time_slice(F.col(ts), slice_seconds)).withColumn("_row", F.row_number().over(by_slice))
+    if following:
+        work = work.withColumn("_next_here", F.lead(values).over(by_slice))
+    work = cut_lineage(work, "sequence")
+    summary = work.groupBy(*keys, SLICE).agg(
+        F.max("_row").alias("_rows"), F.min(F.when(F.col("_row") == 1, values)).alias("_first"))
     links = summary.select(
         *keys, SLICE,
-        F.coalesce(F.sum("_rows").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        .alias("_before"),
+        F.coalesce(F.sum("_rows").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.lead("_first").over(along).alias("_next_first"))
-
-    work = sliced
-    if step:
-        work = work.withColumn(step, F.row_number().over(by_slice).cast("bigint"))
-    if following:
-        work = work.withColumn("_next_here", F.lead(
-            F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])).over(by_slice))
     joined = _null_safe(work, links, [*keys, SLICE], "inner")
     if step:
-        joined = joined.withColumn(step, F.col(step) + F.col("_before"))
+        joined = joined.withColumn(step, (F.col("_row") + F.col("_before")).cast("bigint"))
     for out, source in following.items():
         i = sources.index(source)
         joined = joined.withColumn(out, F.when(
             F.col("_next_here").isNotNull(), F.col(f"_next_here.v{i}")
         ).otherwise(F.col(f"_next_first.v{i}")))
-    return joined.drop(SLICE, "_before", "_next_first", "_next_here")
+    return joined.drop(SLICE, "_row", "_before", "_next_first", *(["_next_here"] if following else []))
 
 
 def newest_before(df: DataFrame, keys: Sequence[str], arrival: str, value: str, out: str, *,

@@ -8,13 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import in_sequence
 
-SEGMENT_STEPS = 10_000
-
 
 def step_pairs(views: DataFrame, session: str, page: str, ts: str, tiebreak: Sequence[str],
                group: Sequence[str] = (), slice_seconds: int = 3600) -> DataFrame:
     """Count moves `step-n:page` -> `step-n+1:page`; the last page moves to 'null'."""
-    walked = in_sequence(views.select(*group, session, page, ts, *tiebreak), [*group, session],
+    walked = in_sequence(views.select(*dict.fromkeys([*group, session, page, ts, *tiebreak])), [*group, session],
                          ts, tiebreak, step="_n", following={"_next": page},
                          slice_seconds=slice_seconds)
     source = F.concat(F.lit("step-"), F.col("_n").cast("string"), F.lit(":"), F.col(page))
@@ -36,25 +34,18 @@ def page_visits(jumps: DataFrame, day: Column) -> DataFrame:
         *keys, F.col("_v.jump_time").alias("visit_time"), F.col("_v.page_type").alias("page_type"))
 
 
-def visitor_paths(visits: DataFrame, segment_steps: int = SEGMENT_STEPS,
-                  slice_seconds: int = 3600) -> DataFrame:
-    """Ordered path of each visitor and day: structs, `a->b->c` text, ends, length.
-
-    A path longer than `segment_steps` is stored in consecutive segments, so that
-    a visitor with a large part of all rows never sits in one row or one task.
-    Every other path is exactly one row with `segment_no` 0.
-    """
-    keys = ["visitor_id", "visit_date"]
-    stepped = in_sequence(visits, keys, "visit_time", ["visit_sequence", "page_id", "page_type"],
-                          step="_n", slice_seconds=slice_seconds)
-    segments = stepped.withColumn("segment_no", F.floor((F.col("_n") - 1) / segment_steps)) \
-        .groupBy(*keys, "segment_no").agg(F.array_sort(F.collect_list(F.struct(
-            F.col("_n").alias("step"), "page_id", "page_type", "visit_time",
-            F.col("visit_sequence").alias("sequence")))).alias("path_sequence"))
-    first, last = F.element_at("path_sequence", 1), F.element_at("path_sequence", -1)
-    return segments.select(
-        *keys, "segment_no", "path_sequence",
-        F.array_join(F.transform("path_sequence", lambda p: p.page_type), "->").alias("full_path"),
-        (F.size("path_sequence") - 1).cast("bigint").alias("path_length"),
-        first.page_id.alias("first_page_id"), first.page_type.alias("first_page_type"),
-        last.page_id.alias("last_page_id"), last.page_type.alias("last_page_type"))
+_PATH_KEYS = ["visitor_id", "visit_date"]
+
+
+def path_steps(visits: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+    """One row per step of a visitor and day, numbered in the order of the path."""
+    return in_sequence(visits, _PATH_KEYS, "visit_time", ["visit_sequence", "page_id", "page_type"],
+                       step="step", slice_seconds=slice_seconds)
+
+
+def path_ends(steps: DataFrame) -> DataFrame:
+    """Length, first and last page of each path."""
+    page = F.struct("step", "page_id", "page_type")
+    ends = steps.groupBy(*_PATH_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(page).alias("_a"), F.max(page).alias("_b"))
+    return ends.select(*_PATH_KEYS, (F.col("_n") - 1).alias("path_length"), *[
+        F.col(f"{side}.{c}").alias(f"{name}_{c}") for side, name in (("_a", "first"), ("_b", "last")) for c in ("page_id", "page_type")])

@@ -8,7 +8,7 @@ from ..functions.cleaning import hashed, hashed_email, hashed_phone, not_deleted
 from ..functions.timekeys import date_from_epoch_day, from_millis, iso_text
 from ..operators.history import OPEN_END, open_versions
 from ..operators.joins import attach, attach_parent
-from ..operators.lists import member_lists
+from ..operators.lists import member_counts
 
 
 def live(df: DataFrame) -> DataFrame:
@@ -16,13 +16,12 @@ def live(df: DataFrame) -> DataFrame:
 
 
 def complex_dim(complexes: DataFrame, regions: DataFrame, courier_links: DataFrame) -> DataFrame:
-    """Residential areas with place names and their couriers (in list parts)."""
+    """Residential areas with place names and the number of their couriers; `lists.members` has these."""
     regions = live(regions)
     out = attach(live(complexes), regions, "province_id", "id", {"province_name": "name"}, "inner")
     out = attach(out, regions, "city_id", "id", {"city_name": "name"}, "inner")
-    couriers = member_lists(live(courier_links), ["complex_id"], F.col("courier_emp_id").cast("string"),
-                            "courier_emp_ids")
-    return attach(out, couriers, "id", "complex_id", ["part_no", "courier_emp_ids"])
+    couriers = member_counts(live(courier_links), ["complex_id"], F.col("courier_emp_id"), "courier_count")
+    return attach(out, couriers, "id", "complex_id", ["courier_count"])
 
 
 def organ_dim(organs: DataFrame, regions: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ SCORE_CAP = 100
 OVERALL_WEIGHTS = {"traffic_score": "0.4", "click_score": "0.3", "guidance_score": "0.3"}
 GRADES = ((85, "A"), (70, "B"), (50, "C"))
 LOWEST_GRADE = "D"
+UNKNOWN_SESSION = "UNKNOWN_SESSION"
 
 
 def behaviour_fact(log: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def behaviour_fact(log: DataFrame) -> DataFrame:
         return or_default(F.col(col), unknown, "string").alias(col)
 
     return log.select(
-        "id", name("user_id", "UNKNOWN_USER"), name("session_id", "UNKNOWN_SESSION"), name("store_id", "UNKNOWN_STORE"),
+        "id", name("user_id", "UNKNOWN_USER"), name("session_id", UNKNOWN_SESSION), name("store_id", "UNKNOWN_STORE"),
         name("item_id", "UNKNOWN_ITEM"), code_name(F.col("page_type"), PAGE_TYPES, "home").alias("page_type"),
         code_name(F.col("event_type"), EVENT_TYPES, "view").alias("event_type"),
         F.coalesce(F.col("event_time"), F.lit(UNKNOWN_TIME).cast("timestamp")).alias("event_time"),
@@ -116,7 +117,10 @@ def page_guidance(fact: DataFrame, amount: str = "acquisition_cost", by_next_pag
     """
     view, paid = _is("view"), _is("payment")
     if by_next_page:
-        fact = in_sequence(fact, ["dt", "session_id"], "event_time", ["id"], following={"_next_page": "page_type"})
+        # Rows without a session aren't one walk.
+        known = F.col("session_id") != UNKNOWN_SESSION
+        walked = in_sequence(fact.filter(known), ["dt", "session_id"], "event_time", ["id"], following={"_next_page": "page_type"})
+        fact = walked.unionByName(fact.filter(~known).withColumn("_next_page", F.lit(None).cast("string")))
         guided = view & (F.col("page_type") != "item_detail") & (F.col("_next_page") == "item_detail")
     else:
         guided = view & (F.col("page_type") == "item_list")

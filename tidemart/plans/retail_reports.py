@@ -40,7 +40,7 @@ def traffic_by_channel(sessions: DataFrame, as_of: Column, spans: Sequence[int]
 
 def page_paths(views: DataFrame) -> DataFrame:
     """Moves between numbered steps of a session, per day."""
-    return step_pairs(views, "session_id", "page_id", "view_time", ["page_item", "during_time"], ["dt"])
+    return step_pairs(views, "session_id", "page_id", "view_time", ["page_item", "during_time", "page_id"], ["dt"])
 
 
 def user_change(logins_td: DataFrame, as_of: Column) -> DataFrame:

@@ -98,7 +98,8 @@ def _(t):
 @query("fn_arrays", """SELECT user_id, string_agg(DISTINCT event_type, '->' ORDER BY event_type) kinds, min(event_type) first_kind, max(event_type) last_kind,
     count(DISTINCT event_type) n FROM ev GROUP BY user_id""")
 def _(t):
-    kinds = lists.member_lists(t.events, ["user_id"], F.col("event_type"), "kinds")
+    # Event types are a handful, so their list is bounded.
+    kinds = t.events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("kinds"))
     arr = F.col("kinds")
     return kinds.select("user_id", F.array_join(arr, "->").alias("kinds"), F.element_at(arr, 1).alias("first_kind"),
                         F.element_at(arr, -1).alias("last_kind"), F.size(arr).alias("n"))
@@ -234,10 +235,9 @@ def _(t):
     return recent.last_seen_counts(rows, ["channel"], "user_id", "dt", log_day(), [1, 7, 30], "users")
 
 
-@query("list_couriers", "SELECT complex_id, string_agg(DISTINCT courier_emp_id::VARCHAR, ',' ORDER BY courier_emp_id::VARCHAR) couriers FROM courier_complex GROUP BY 1")
+@query("list_couriers", "SELECT DISTINCT complex_id, courier_emp_id::VARCHAR courier FROM courier_complex WHERE courier_emp_id IS NOT NULL")
 def _(t):
-    parts = lists.member_lists(t.courier_complex, ["complex_id"], F.col("courier_emp_id").cast("string"), "couriers")
-    return parts.select("complex_id", F.array_join("couriers", ",").alias("couriers"))
+    return lists.members(t.courier_complex, ["complex_id"], F.col("courier_emp_id").cast("string"), "courier")
 
 
 # ---- quality -------------------------------------------------------------------------------

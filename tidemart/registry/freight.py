@@ -133,14 +133,11 @@ def shift_recent(t):
 
 # ---- dimensions --------------------------------------------------------------------------
 
-@query("freight_dim_complex", """SELECT c.*, p.name province_name, y.name city_name, 0::BIGINT part_no, k.ids courier_emp_ids FROM complex_base c
-    JOIN freight_region p ON p.id=c.province_id JOIN freight_region y ON y.id=c.city_id LEFT JOIN (SELECT complex_id,
-    string_agg(DISTINCT courier_emp_id::VARCHAR, ',' ORDER BY courier_emp_id::VARCHAR) ids FROM courier_complex GROUP BY 1) k ON k.complex_id=c.id WHERE k.ids IS NOT NULL
-    UNION ALL SELECT c.*, p.name, y.name, NULL, NULL FROM complex_base c JOIN freight_region p ON p.id=c.province_id JOIN freight_region y ON y.id=c.city_id
-    WHERE c.id NOT IN (SELECT complex_id FROM courier_complex)""")
-def _(t):
-    out = dims.complex_dim(t.complex_base, t.freight_region, t.courier_complex)
-    return out.withColumn("courier_emp_ids", F.array_join("courier_emp_ids", ","))
+@query("freight_dim_complex", """SELECT c.*, p.name province_name, y.name city_name, k.n courier_count FROM complex_base c
+    JOIN freight_region p ON p.id=c.province_id JOIN freight_region y ON y.id=c.city_id
+    LEFT JOIN (SELECT complex_id, count(DISTINCT courier_emp_id) n FROM courier_complex GROUP BY 1) k ON k.complex_id=c.id""")
+def _(t):
+    return dims.complex_dim(t.complex_base, t.freight_region, t.courier_complex)
 
 
 @query("freight_dim_organ", """SELECT o.*, r.name region_name, r.dict_code region_code, p.org_name org_parent_name FROM organ_live o

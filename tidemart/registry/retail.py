@@ -189,7 +189,8 @@ def _(t):
 
 @query("dim_customer_versions", f"""SELECT o_custkey user_id, o_orderpriority user_level, {_day('ordered::DATE','start_date')},
     strftime(coalesce((lead(ordered) OVER w)::DATE - 1, DATE '9999-12-31'),'%Y-%m-%d') end_date
-    FROM heads WINDOW w AS (PARTITION BY o_custkey ORDER BY ordered, o_orderkey)""")
+    FROM (SELECT * FROM heads QUALIFY row_number() OVER (PARTITION BY o_custkey, ordered::DATE ORDER BY ordered DESC, o_orderkey DESC)=1)
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY ordered, o_orderkey)""")
 def _(t):
     changes = t.heads.select(F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("user_level"),
                              "ordered", "o_orderkey")
@@ -197,6 +198,16 @@ def _(t):
         .drop("ordered", "o_orderkey")
 
 
+@query("dim_customer_versions_kept", f"""SELECT count(*) n, count(*) FILTER (start_date > end_date) turned FROM (
+    SELECT ordered::DATE start_date, coalesce((lead(ordered) OVER w)::DATE - 1, DATE '9999-12-31') end_date FROM (
+        SELECT * FROM heads QUALIFY row_number() OVER (PARTITION BY o_custkey, ordered::DATE ORDER BY ordered DESC, o_orderkey DESC)=1)
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY ordered, o_orderkey))""")
+def _(t):
+    changes = t.heads.select(F.col("o_custkey").alias("user_id"), "ordered", "o_orderkey")
+    kept = history.versions_from_changes(changes, ["user_id"], "ordered", ["o_orderkey"], slice_seconds=365 * 86_400)
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("start_date") > F.col("end_date")).alias("turned"))
+
+
 # ---- facts ---------------------------------------------------------------------------------
 
 @query("fact_cart_add", f"SELECT id, user_id, sku_id, {_day('create_time','date_id')}, {_sec('create_time')}, sku_num, {_day('create_time','dt')} FROM cart_info")
@@ -378,7 +389,7 @@ def _(t):
 
 @query("report_page_paths", f"""SELECT {DT}, source, coalesce(target,'null') target, count(*) path_count FROM (
     SELECT dt, 'step-'||n||':'||page_id source, 'step-'||(n+1)||':'||nxt target FROM (SELECT dt, page_id, row_number() OVER w n, lead(page_id) OVER w nxt
-    FROM page_view WINDOW w AS (PARTITION BY dt, sid ORDER BY view_ts, item, during_time))) GROUP BY dt, source, target""")
+    FROM page_view WINDOW w AS (PARTITION BY dt, sid ORDER BY view_ts NULLS FIRST, item NULLS FIRST, during_time NULLS FIRST, page_id NULLS FIRST))) GROUP BY dt, source, target""")
 def _(t):
     return reports.page_paths(views(t))
 

@@ -327,15 +327,17 @@ def _register_entry(term: str) -> None:
     def _(t):
         return entry.shop_page_daily(entry.shop_page_fact(t.shop_page_log, term))
 
-    @query(f"visitor_paths_{term}", f"""SELECT visitor_id, {_day('visit_date')}, 0::BIGINT segment_no, string_agg(n||':'||page_id||':'||visit_sequence, ',' ORDER BY n) path_sequence,
-        string_agg(page_type, '->' ORDER BY n) full_path, count(*)-1 path_length, first(page_id ORDER BY n) first_page_id, first(page_type ORDER BY n) first_page_type,
+    @query(f"visitor_path_steps_{term}", f"""SELECT visitor_id, {_day('visit_date')}, row_number() OVER (PARTITION BY visitor_id, visit_date
+        ORDER BY visit_time, visit_sequence, page_id, page_type) step, page_id, page_type, visit_sequence FROM pv_{term}""")
+    def _(t):
+        visits = paths.page_visits(entry.path_fact(t.path_log, term), F.col("jump_date"))
+        return paths.path_steps(visits).select("visitor_id", "visit_date", "step", "page_id", "page_type", "visit_sequence")
+
+    @query(f"visitor_paths_{term}", f"""SELECT visitor_id, {_day('visit_date')}, count(*)-1 path_length, first(page_id ORDER BY n) first_page_id, first(page_type ORDER BY n) first_page_type,
         last(page_id ORDER BY n) last_page_id, last(page_type ORDER BY n) last_page_type FROM (SELECT *, row_number() OVER (PARTITION BY visitor_id, visit_date
         ORDER BY visit_time, visit_sequence, page_id, page_type) n FROM pv_{term}) GROUP BY visitor_id, visit_date""")
     def _(t):
-        jumps = entry.path_fact(t.path_log, term)
-        out = paths.visitor_paths(paths.page_visits(jumps, F.col("jump_date")))
-        item = lambda p: F.concat_ws(":", p.step, p.page_id, p.sequence)
-        return out.withColumn("path_sequence", F.array_join(F.transform("path_sequence", item), ","))
+        return paths.path_ends(paths.path_steps(paths.page_visits(entry.path_fact(t.path_log, term), F.col("jump_date"))))
 
     @query(f"path_report_{term}", f"""SELECT source_page_type, target_page_type, {_day('jump_date', 'stat_date')}, n jump_count,
         {half_up('n', 'sum(n) OVER (PARTITION BY source_page_type, jump_date)', 4)} jump_rate,
@@ -390,7 +392,7 @@ def _guidance_sql(source: str, guided: str) -> str:
         FROM {source} GROUP BY 1,2,3"""
 
 
-CTES["beh_next"] = "SELECT *, lead(page_type) OVER (PARTITION BY dt, session_id ORDER BY event_time, id) nxt FROM beh"
+CTES["beh_next"] = """SELECT *, CASE WHEN session_id<>'UNKNOWN_SESSION' THEN lead(page_type) OVER (PARTITION BY dt, session_id ORDER BY event_time, id, page_type) END nxt FROM beh"""
 CTES["pb_guide"] = _guidance_sql("beh_next", "event_type='view' AND page_type<>'item_detail' AND nxt='item_detail'")
 CTES["pb_scores"] = """SELECT dt, store_id, page_type,
     CASE WHEN page_views>0 OR unique_visitors>0 THEN round(least(page_views*0.03+unique_visitors*0.3+avg_stay_duration*2+(100-bounce_rate)*20, 100.0),2) ELSE 0 END::DECIMAL(5,2) traffic_score,

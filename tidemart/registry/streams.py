@@ -18,21 +18,18 @@ from .retail import log_day
 
 # The tables hold years of history in one batch, so keyed tables use one wide time slice.
 HISTORY_MS = 86_400_000 * 36_500
-# A run over the available data that takes longer than this is reported instead of waited for.
-RUN_SECONDS = 6 * 3600
 
 
 def run(t: Inputs, stream: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Result table of a stream after all available input."""
     root = scratch_path(t.spark, name)
-    runner.finish(runner.to_table(stream, f"{root}/out", f"{root}/checkpoint", once=True, partition_by=partition_by),
-                  RUN_SECONDS)
+    runner.finish(runner.to_table(stream, f"{root}/out", f"{root}/checkpoint", once=True, partition_by=partition_by))
     return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
 def run_batches(t: Inputs, stream: DataFrame, step, name: str, mode: str = "append") -> None:
     root = scratch_path(t.spark, name)
-    runner.finish(runner.per_batch(stream, step, f"{root}/checkpoint", once=True, mode=mode), RUN_SECONDS)
+    runner.finish(runner.per_batch(stream, step, f"{root}/checkpoint", once=True, mode=mode))
 
 
 def events(t: Inputs) -> DataFrame:
@@ -79,7 +76,14 @@ def _flag_rows(logs: DataFrame) -> DataFrame:
 
 @query("stream_repair_is_new", f"SELECT mid, ts, is_new FROM ({_REPAIRED})")
 def _(t):
-    return run(t, visitors.repair_is_new(_flag_rows(ingest.page_logs(log_stream(t)))), "is_new")
+    # Four micro-batches in the order of time, each unsorted.
+    logs = Inputs.shape_log(Inputs.shape_events(t.batches("events", "ts"))).select(F.col("log").alias("value"))
+    flags = _flag_rows(ingest.page_logs(logs))
+    root = scratch_path(t.spark, "is_new")
+    schema = T.StructType().add("mid", "string").add("first_day", "long").add("last_ts", "long")
+    store = UpsertTable(t.spark, f"{root}/first", schema, ["mid"], version="last_ts")
+    run_batches(t, flags, visitors.repair_is_new_step(store, f"{root}/out"), "is_new")
+    return t.spark.read.schema(flags.schema).parquet(f"{root}/out").select(*flags.columns)
 
 
 @query("repair_is_new_batch", f"SELECT mid, ts, is_new FROM ({_REPAIRED})")
@@ -134,18 +138,17 @@ def _arrived(rows: DataFrame) -> DataFrame:
 
 @query("stream_newer_only", _NEWER)
 def _(t):
-    return run(t, dedup.newer_only(_arrived(events(t)), "user_id", "seen", "event_id"), "newer")
+    rows = _arrived(Inputs.shape_events(t.batches("events", "event_id")))
+    root = scratch_path(t.spark, "newer")
+    schema = T.StructType().add("user_id", "long").add("seen", "long")
+    store = UpsertTable(t.spark, f"{root}/newest", schema, ["user_id"], version="seen")
+    run_batches(t, rows, dedup.newer_only_step(store, f"{root}/out", "user_id", "seen", "event_id"), "newer")
+    return t.spark.read.schema(rows.schema).parquet(f"{root}/out").select(*rows.columns)
 
 
 @query("newer_only_batch", _NEWER)
 def _(t):
-    return dedup.newer_only_batch(_arrived(t.events), ["user_id"], "seen", "event_id", slice_rows=1000)
-
-
-@query("stream_bloom_dedup")
-def _(t):
-    rows = events(t).select("user_id", "event_type", "k")
-    return run(t, dedup.bloom(rows, [F.col("user_id"), F.col("event_type"), F.col("k")], 1_000_000, 0.001), "bloom")
+    return dedup.newer_only_batch(_arrived(t.events), ["user_id"], "seen", "event_id")
 
 
 @query("stream_user_profile", "SELECT * FROM l_profile")
@@ -158,11 +161,11 @@ def _(t):
     return profile.profile_rows(store.latest())
 
 
-@query("stream_last_per_window", """SELECT user_id, strftime(w,'%Y-%m-%d %H:%M:%S') window_start, event_id FROM (SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) w, event_id,
-    row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts) ORDER BY ts DESC, event_id DESC) r FROM ev) WHERE r=1""")
+@query("stream_last_per_window", """SELECT user_id, strftime(w,'%Y-%m-%d %H:%M:%S') window_start, event_id FROM (SELECT user_id, time_bucket(INTERVAL 2 MINUTES, ts) w, event_id,
+    row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 2 MINUTES, ts) ORDER BY ts DESC, event_id DESC) r FROM ev) WHERE r=1""")
 def _(t):
     rows = events(t).select("user_id", "ts", "event_id").withWatermark("ts", ingest.LOG_DELAY)
-    latest = profile.last_per_window(rows, "user_id", "ts", "1 day")
+    latest = profile.last_per_window(rows, "user_id", "ts", "2 minutes")
     root = scratch_path(t.spark, "window")
     flat = latest.select("user_id", "window_start", F.unix_millis("ts").alias("ts_ms"), "event_id")
     store = UpsertTable(t.spark, f"{root}/rows", flat.schema, ["user_id", "window_start"], slice_ms=HISTORY_MS)

@@ -9,10 +9,15 @@ from ..functions.keys import parsed_once
 
 
 def parse(rows: DataFrame, value: str = "value") -> DataFrame:
-    """Envelope columns of JSON messages; unreadable ones have no `op` and are dropped."""
+    """Envelope columns of the readable change messages; `unreadable` has the others."""
     return rows.select(F.inline(parsed_once(F.from_json(value, schemas.CDC), lambda e: e["op"].isNotNull())))
 
 
+def unreadable(rows: DataFrame, value: str = "value") -> DataFrame:
+    """Messages without an operation: no JSON, or no change envelope."""
+    return rows.filter(F.from_json(value, schemas.CDC)["op"].isNull()).select(value)
+
+
 def of_table(changes: DataFrame, *tables: str) -> DataFrame:
     return changes.filter(F.col("source")["table"].isin(list(tables)))
 

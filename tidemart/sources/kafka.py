@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.keys import parsed_once
+from ..streaming import ingest
 
 LOAD_ROWS, LOAD_SECONDS = 300_000, 30
 
@@ -15,7 +15,7 @@ LOAD_ROWS, LOAD_SECONDS = 300_000, 30
 def source_options(servers: str, topics: Sequence[str], group: str | None = None, starting: str = "earliest",
                    max_rows: int | None = None) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting,
-               "failOnDataLoss": "false"}
+               "failOnDataLoss": "true"}
     if group:
         options["kafka.group.id"] = group
     if max_rows:
@@ -35,8 +35,13 @@ def as_text(rows: DataFrame) -> DataFrame:
 
 
 def as_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Message fields; unreadable messages are dropped (see streaming.ingest for the dirty branch)."""
-    return rows.select(F.inline(parsed_once(F.from_json("value", schema), lambda r: r.isNotNull())))
+    """Fields of the readable messages; `unreadable` has the others."""
+    return ingest.clean(ingest.parse_records(rows, schema))
+
+
+def unreadable(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Messages that are no JSON object of the schema, as they came."""
+    return ingest.dirty(ingest.parse_records(rows, schema))
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from math import ceil, log
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
+
+from ..sources.upsert import UpsertTable
 
 
 def exact(stream: DataFrame, keys: Sequence[str], payload: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows whose key and content came before within the watermark. The content hash
-    is part of the state key, so a busy key spreads over all state partitions."""
+    """Drop rows whose key and content came before within the watermark. The content is part
+    of the state key, so a busy key spreads over all state partitions."""
     content = list(payload or [c for c in stream.columns if c not in keys])
-    hashed = stream.withColumn("_content", F.xxhash64(*[F.to_json(F.struct(c)) for c in content]))
-    return hashed.dropDuplicatesWithinWatermark([*keys, "_content"]).drop("_content")
+    return stream.dropDuplicatesWithinWatermark([*keys, *content])
 
 
 def newer_only_batch(df: DataFrame, keys: Sequence[str], time: str, arrival: str,
@@ -28,87 +25,23 @@ def newer_only_batch(df: DataFrame, keys: Sequence[str], time: str, arrival: str
     return seen.filter(F.col("_seen").isNull() | (F.col(time) > F.col("_seen"))).drop("_seen")
 
 
-def newer_only(stream: DataFrame, key: str, time: str, arrival: str, ttl_ms: int | None = None) -> DataFrame:
-    """Keep a row only if its time is newer than the newest kept for its key.
-
-    `ttl_ms` forgets idle keys; it needs a continuous trigger, because a run over the
-    available data never ends while state can still expire.
-    """
-    state = T.StructType([T.StructField("newest", T.LongType())])
-
-    class NewerOnly(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.newest = handle.getValueState("newest", state, ttl_ms)
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            found = self.newest.get()
-            top = found[0] if found is not None else None
-            for frame in rows:
-                frame = frame.sort_values(arrival, kind="stable")
-                times = frame[time].to_numpy()
-                before = np.maximum.accumulate(times)
-                before = np.concatenate(([np.iinfo(np.int64).min if top is None else top], before[:-1]))
-                if top is not None:
-                    before = np.maximum(before, top)
-                kept = frame[times > before]
-                if len(kept):
-                    top = int(times.max()) if top is None else max(top, int(times.max()))
-                    yield kept
-            if top is not None:
-                self.newest.update((top,))
-
-        def close(self) -> None:
-            pass
-
-    return stream.groupBy(key).transformWithStateInPandas(
-        NewerOnly(), outputStructType=stream.schema, outputMode="Append",
-        timeMode="ProcessingTime" if ttl_ms else "None")
+def newer_only_step(store: UpsertTable, out: str, key: str, time: str, arrival: str,
+                    slice_rows: int = 1_000_000) -> Callable[[DataFrame, int], None]:
+    """Micro-batch step: writes the rows newer than all earlier arrivals of their key to `out`.
 
-
-def bloom_size(expected: int, false_positive: float) -> tuple[int, int]:
-    """Bits and hash functions of a Bloom filter for `expected` members."""
-    bits = max(8, int(-expected * log(false_positive) / log(2) ** 2))
-    return bits, max(1, round(bits / expected * log(2)))
-
-
-def bloom(stream: DataFrame, identity: Sequence[Column], expected: int, false_positive: float,
-          shards: int = 64) -> DataFrame:
-    """Approximate duplicate filter of fixed memory: never lets a repeat pass, and drops a
-    new row with at most the given probability.
-
-    The identity's hash picks one of `shards` filters, so that all rows spread evenly
-    whatever their keys; its two halves give the bit positions by double hashing.
+    `store` has the newest time per key (columns: key, time). Batches before the running one
+    are the only ones read, so a repeated batch gives the same rows; with a retention, keys
+    whose newest time is older than that are forgotten.
     """
-    bits, functions = bloom_size(ceil(expected / shards), false_positive)
-    state = T.StructType([T.StructField("bits", T.BinaryType())])
-    schema = stream.schema
-
-    class Bloom(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.filter = handle.getValueState("filter", state)
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            found = self.filter.get()
-            mask = (np.frombuffer(found[0], dtype=np.uint8).copy() if found is not None
-                    else np.zeros((bits + 7) // 8, dtype=np.uint8))
-            for frame in rows:
-                frame = frame.drop_duplicates("identity_hash")
-                hashed = frame["identity_hash"].to_numpy().view(np.uint64)
-                low, high = hashed & np.uint64(0xFFFFFFFF), (hashed >> np.uint64(32)) | np.uint64(1)
-                steps = np.arange(1, functions + 1, dtype=np.uint64)
-                places = ((low[:, None] + steps * high[:, None]) % np.uint64(bits)).astype(np.int64)
-                bit = np.left_shift(np.uint8(1), (places & 7).astype(np.uint8))
-                fresh = ((mask[places >> 3] & bit) == 0).any(axis=1)
-                np.bitwise_or.at(mask, (places >> 3).ravel(), bit.ravel())
-                if fresh.any():
-                    yield frame[fresh][schema.names]
-            self.filter.update((mask.tobytes(),))
+    from ..operators.ordered import newest_before
 
-        def close(self) -> None:
-            pass
+    def step(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max(time)).first()[0] if store.retention_ms is not None else None
+        known = store.before(batch_id, newest).select(F.col(key).alias("_k"), F.col(time).alias("_known"))
+        seen = newest_before(batch, [key], arrival, time, "_seen", slice_rows=slice_rows)
+        seen = seen.join(known, seen[key].eqNullSafe(known["_k"]), "left").withColumn("_seen", F.greatest("_seen", "_known"))
+        kept = seen.filter(F.col("_seen").isNull() | (F.col(time) > F.col("_seen"))).select(*batch.columns)
+        kept.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        store.upsert(batch.groupBy(key).agg(F.max(time).alias(time)), batch_id)
 
-    # No leading underscore: the rows handed to Python would lose such names.
-    keyed = stream.withColumn("identity_hash", F.xxhash64(*identity)) \
-        .withColumn("shard_no", F.pmod(F.xxhash64("identity_hash", F.lit("shard")), F.lit(shards)))
-    return keyed.groupBy("shard_no").transformWithStateInPandas(
-        Bloom(), outputStructType=schema, outputMode="Append", timeMode="None")
+    return step

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
+
+from ..sources.upsert import UpsertTable
 
 DAY_MS = 86_400_000
 
@@ -17,41 +17,37 @@ def repair_is_new_batch(logs: DataFrame) -> DataFrame:
     If the first row of a device already says "not new", the device was known before, so
     its first day is taken as the day before. First days are one aggregated row per device.
     """
-    first = logs.groupBy("mid").agg(F.min(F.struct("ts", "is_new")).alias("_f"))
-    start = F.floor(F.col("_f.ts") / DAY_MS) - F.when(F.col("_f.is_new") == "1", 0).otherwise(1)
-    days = first.select(F.col("mid").alias("_mid"), start.alias("_start"))
+    days = first_days(logs).select(F.col("mid").alias("_mid"), F.col("first_day").alias("_start"))
     joined = logs.join(days, logs["mid"] == days["_mid"], "left")
     stale = (F.col("is_new") == "1") & (F.floor(F.col("ts") / DAY_MS) != F.col("_start"))
     return joined.withColumn("is_new", F.when(stale, "0").otherwise(F.col("is_new"))).drop("_mid", "_start")
 
 
-def repair_is_new(logs: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """The same over a stream, with the first day of each device as state.
+def first_days(logs: DataFrame) -> DataFrame:
+    """mid, first_day and last_ts of each device, from its earliest row."""
+    first = logs.groupBy("mid").agg(F.min(F.struct("ts", "is_new")).alias("_f"), F.max("ts").alias("last_ts"))
+    start = F.floor(F.col("_f.ts") / DAY_MS) - F.when(F.col("_f.is_new") == "1", 0).otherwise(1)
+    return first.select("mid", start.alias("first_day"), "last_ts")
+
+
+def repair_is_new_step(store: UpsertTable, out: str) -> Callable[[DataFrame, int], None]:
+    """Micro-batch step of the same rule; `store` has first_day and last_ts per device.
 
-    Rows of a device pass through in Arrow batches; the state is a single day number.
-    `ttl_ms` forgets idle devices and needs a continuous trigger.
+    A device met in an earlier batch keeps its first day. Only batches before the running one
+    are read, so a repeated batch gives the same rows; with a retention, devices idle for longer
+    are forgotten.
     """
-    state = T.StructType([T.StructField("first_day", T.LongType())])
-
-    class FirstVisit(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.first = handle.getValueState("first", state, ttl_ms)
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            found = self.first.get()
-            start = found[0] if found is not None else None
-            for frame in rows:
-                days = frame["ts"] // DAY_MS
-                if start is None:
-                    top = frame.sort_values(["ts", "is_new"]).iloc[0]
-                    start = int(top["ts"] // DAY_MS) - (0 if top["is_new"] == "1" else 1)
-                    self.first.update((start,))
-                stale = (frame["is_new"] == "1") & (days != start)
-                yield frame.assign(is_new=frame["is_new"].mask(stale, "0"))
-
-        def close(self) -> None:
-            pass
-
-    return logs.groupBy("mid").transformWithStateInPandas(
-        FirstVisit(), outputStructType=logs.schema, outputMode="Append",
-        timeMode="ProcessingTime" if ttl_ms else "None")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max("ts")).first()[0] if store.retention_ms is not None else None
+        known = store.before(batch_id, newest).select(F.col("mid").alias("_mid"), F.col("first_day").alias("_known"))
+        here = first_days(batch)
+        days = here.join(known, here["mid"].eqNullSafe(known["_mid"]), "left").select(
+            "mid", F.coalesce("_known", "first_day").alias("first_day"), "last_ts")
+        seeds = days.select(F.col("mid").alias("_mid"), F.col("first_day").alias("_start"))
+        joined = batch.join(seeds, batch["mid"].eqNullSafe(seeds["_mid"]), "left")
+        stale = (F.col("is_new") == "1") & (F.floor(F.col("ts") / DAY_MS) != F.col("_start"))
+        joined.withColumn("is_new", F.when(stale, "0").otherwise(F.col("is_new"))).select(*batch.columns) \
+            .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        store.upsert(days, batch_id)
+
+    return step
