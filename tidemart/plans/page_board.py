@@ -93,21 +93,49 @@ def _mean(value: Column, test: Column) -> Column:
     return F.coalesce(share(F.sum(hit), F.count(hit), 2), F.lit(0.0)).cast("decimal(16,2)")
 
 
-def page_traffic(fact: DataFrame) -> DataFrame:
+def _traffic() -> list[Column]:
     view, search = _is("view"), _is("search")
-    return fact.groupBy(*_KEYS).agg(
+    return [
         _count(view).alias("page_views"), F.count_distinct(F.when(view, F.col("user_id"))).alias("unique_visitors"),
         _mean(F.col("duration"), view).alias("avg_stay_duration"),
         percent(_count(view & (F.col("duration") < 10)), _count(view)).cast("decimal(16,2)").alias("bounce_rate"),
-        _count(search).alias("search_count"), _mean(F.col("search_rank"), search).alias("avg_search_rank"))
+        _count(search).alias("search_count"), _mean(F.col("search_rank"), search).alias("avg_search_rank")]
 
 
-def page_clicks(fact: DataFrame) -> DataFrame:
+def _clicks() -> list[Column]:
     view, converted = _is("view"), F.col("event_type").isin("add_to_cart", "payment")
-    return fact.groupBy(*_KEYS).agg(
+    return [
         _count(view).alias("click_count"), F.count_distinct(F.when(view, F.col("user_id"))).alias("click_users"),
         _count(converted).alias("conversion_clicks"),
-        percent(_count(converted), _count(view)).cast("decimal(16,2)").alias("conversion_rate"))
+        percent(_count(converted), _count(view)).cast("decimal(16,2)").alias("conversion_rate")]
+
+
+def _guidance(guided: Column, amount: str) -> list[Column]:
+    view, paid = _is("view"), _is("payment")
+    return [
+        _count(guided).alias("to_item_detail_views"),
+        percent(_count(guided), _count(view)).cast("decimal(16,2)").alias("guidance_rate"),
+        F.count_distinct(F.when(paid, F.col("user_id"))).alias("payment_users"),
+        F.coalesce(F.sum(F.when(paid, F.col(amount))), F.lit(0)).cast("decimal(16,2)").alias("payment_amount")]
+
+
+def page_traffic(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(*_KEYS).agg(*_traffic())
+
+
+def page_clicks(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(*_KEYS).agg(*_clicks())
+
+
+def _with_next_page(fact: DataFrame) -> DataFrame:
+    """Adds the page type of the session's next row; rows without a session aren't one walk."""
+    known = F.col("session_id") != UNKNOWN_SESSION
+    walked = in_sequence(fact.filter(known), ["dt", "session_id"], "event_time", ["id"], following={"_next_page": "page_type"})
+    return walked.unionByName(fact.filter(~known).withColumn("_next_page", F.lit(None).cast("string")))
+
+
+def _led_on() -> Column:
+    return _is("view") & (F.col("page_type") != "item_detail") & (F.col("_next_page") == "item_detail")
 
 
 def page_guidance(fact: DataFrame, amount: str = "acquisition_cost", by_next_page: bool = True) -> DataFrame:
@@ -115,20 +143,11 @@ def page_guidance(fact: DataFrame, amount: str = "acquisition_cost", by_next_pag
 
     `by_next_page=False` counts list-page views instead, without looking ahead.
     """
-    view, paid = _is("view"), _is("payment")
     if by_next_page:
-        # Rows without a session aren't one walk.
-        known = F.col("session_id") != UNKNOWN_SESSION
-        walked = in_sequence(fact.filter(known), ["dt", "session_id"], "event_time", ["id"], following={"_next_page": "page_type"})
-        fact = walked.unionByName(fact.filter(~known).withColumn("_next_page", F.lit(None).cast("string")))
-        guided = view & (F.col("page_type") != "item_detail") & (F.col("_next_page") == "item_detail")
+        fact, guided = _with_next_page(fact), _led_on()
     else:
-        guided = view & (F.col("page_type") == "item_list")
-    return fact.groupBy(*_KEYS).agg(
-        _count(view).alias("page_views"), _count(guided).alias("to_item_detail_views"),
-        percent(_count(guided), _count(view)).cast("decimal(16,2)").alias("guidance_rate"),
-        F.count_distinct(F.when(paid, F.col("user_id"))).alias("payment_users"),
-        F.coalesce(F.sum(F.when(paid, F.col(amount))), F.lit(0)).cast("decimal(16,2)").alias("payment_amount"))
+        guided = _is("view") & (F.col("page_type") == "item_list")
+    return fact.groupBy(*_KEYS).agg(_count(_is("view")).alias("page_views"), *_guidance(guided, amount))
 
 
 def _points(weights: dict[str, str]) -> Column:
@@ -163,11 +182,11 @@ def guidance_board(days: DataFrame) -> DataFrame:
     return days.withColumn("guidance_score", _capped(_points(GUIDANCE_POINTS), active))
 
 
-def overall_board(traffic: DataFrame, clicks: DataFrame, guidance: DataFrame) -> DataFrame:
-    out = traffic.select(*_KEYS, "traffic_score") \
-        .join(clicks.select(*_KEYS, "click_score"), _KEYS, "left") \
-        .join(guidance.select(*_KEYS, "guidance_score"), _KEYS, "left") \
-        .na.fill(0, ["traffic_score", "click_score", "guidance_score"])
+def overall_board(fact: DataFrame, amount: str = "acquisition_cost") -> DataFrame:
+    """All three scores and the grade, from one aggregation of the fact."""
+    days = _with_next_page(fact).groupBy(*_KEYS).agg(*_traffic(), *_clicks(), *_guidance(_led_on(), amount))
+    scores = ["traffic_score", "click_score", "guidance_score"]
+    out = guidance_board(click_board(traffic_board(days))).select(*_KEYS, *scores).na.fill(0, scores)
     out = out.withColumn("overall_score", F.round(_points(OVERALL_WEIGHTS), 2).cast("decimal(5,2)"))
     grade = F.lit(LOWEST_GRADE)
     for limit, name in reversed(GRADES):

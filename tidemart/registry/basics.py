@@ -136,8 +136,8 @@ def _(t):
     return sets.union_all(*parts)
 
 
-@query("clean_personal_data", f"""SELECT id, md5(name) name, CASE WHEN regexp_matches(phone_num, '{cleaning.PHONE_PATTERN}') THEN md5(phone_num) END phone,
-    CASE WHEN regexp_matches(email, '{cleaning.EMAIL_PATTERN}') THEN md5(email) END email, sha256('pepper'||name) salted, substr(name,1,1)||'*' masked FROM user_info""")
+@query("clean_personal_data", rf"""SELECT id, md5(name) name, CASE WHEN regexp_matches(phone_num, '^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])\d{{8}}$') THEN md5(phone_num) END phone,
+    CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$') THEN md5(email) END email, sha256('pepper'||name) salted, substr(name,1,1)||'*' masked FROM user_info""")
 def _(t):
     name = F.col("name")
     return t.user_info.select(

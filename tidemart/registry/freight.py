@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..bridge.sql import CTES, big, num
 from ..bridge.tables import Inputs, TRADE_DAY
-from ..functions.cleaning import EMAIL_PATTERN, PHONE_PATTERN
 from ..operators.joins import attach
 from ..plans import freight_daily as daily, freight_dims as dims, freight_facts as facts, freight_reports as reports
 from .base import query
@@ -173,15 +172,15 @@ def _(t):
     return trucks(t)
 
 
-@query("freight_dim_user_zip", f"""SELECT id, login_name, 'nick'||id nick_name, md5('pw'||id) passwd, md5(name) realname,
-    CASE WHEN regexp_matches(phone_num, '{PHONE_PATTERN}') THEN md5(phone_num) END phone_num,
-    CASE WHEN regexp_matches(email, '{EMAIL_PATTERN}') THEN md5(email) END email, user_level,
+@query("freight_dim_user_zip", rf"""SELECT id, login_name, 'nick'||id nick_name, md5('pw'||id) passwd, md5(name) realname,
+    CASE WHEN regexp_matches(phone_num, '^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])\d{{8}}$') THEN md5(phone_num) END phone_num,
+    CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$') THEN md5(email) END email, user_level,
     strftime(DATE '1970-01-01' + birthday::INT,'%Y-%m-%d') birthday, gender, {_day('create_time','start_date')}, '9999-12-31' end_date FROM user_info""")
 def _(t):
     return dims.user_zip(t.freight_user)
 
 
-@query("freight_dim_address_zip", f"""SELECT id, user_id, CASE WHEN regexp_matches(phone, '{PHONE_PATTERN}') THEN md5(phone) END phone, province_id, city_id,
+@query("freight_dim_address_zip", rf"""SELECT id, user_id, CASE WHEN regexp_matches(phone, '^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])\d{{8}}$') THEN md5(phone) END phone, province_id, city_id,
     district_id, address, start_date, '9999-12-31' end_date FROM user_address""")
 def _(t):
     return dims.address_zip(t.user_address)

@@ -15,22 +15,60 @@ from .retail import L_DAY, _day, log_day
 def _scores_sql(factor: str, value: str, table, weight, other=None) -> str:
     """CASE expressions of the six bands of a factor as exact decimals."""
     out = []
-    for i, band in enumerate(persona.BANDS):
+    for i, band in enumerate(_BANDS):
         cases = " ".join(f"WHEN '{v}' THEN round({s[i]}::DECIMAL(4,2)*{weight}::DECIMAL(4,2),3)" for v, s in table.items())
         rest = f" ELSE CASE WHEN {value}<>'' THEN round({other[i]}::DECIMAL(4,2)*{weight}::DECIMAL(4,2),3) END" if other else ""
         out.append(f"(CASE {value} {cases}{rest} END)::DECIMAL(8,3) {factor}_{band}")
     return ", ".join(out)
 
 
-_W = persona.WEIGHTS
-_DEVICE_SQL = _scores_sql("device", "judge_os", persona.DEVICE, _W["device"])
-_SEARCH_SQL = _scores_sql("search", "search_category", persona.SEARCH, _W["search"], persona.SEARCH_OTHER)
+# Fixed values, written out here so that the SQL doesn't depend on the code that it checks.
+_BANDS = ('18_24', '25_29', '30_34', '35_39', '40_49', '50')
+_DEVICE_SQL = _scores_sql('device', 'judge_os', {
+    'iOS': ('0.7', '0.6', '0.5', '0.4', '0.3', '0.2'),
+    'Android': ('0.8', '0.7', '0.6', '0.5', '0.4', '0.3')}, '0.1')
+_SEARCH_SQL = _scores_sql('search', 'search_category', {
+    '时尚与潮流': ('0.9', '0.7', '0.5', '0.3', '0.2', '0.1'),
+    '性价比': ('0.2', '0.4', '0.6', '0.7', '0.8', '0.8'),
+    '健康与养生': ('0.1', '0.2', '0.4', '0.6', '0.8', '0.7'),
+    '家庭与育儿': ('0.1', '0.2', '0.4', '0.6', '0.8', '0.7'),
+    '科技与数码': ('0.8', '0.6', '0.4', '0.3', '0.2', '0.1'),
+    '学习与发展': ('0.4', '0.5', '0.6', '0.7', '0.8', '0.7')}, '0.15', ('0', '0', '0', '0', '0', '0'))
 _ORDER_SQL = ", ".join([
-    _scores_sql("pay_time", "pay_time_slot", persona.TIME_SLOT, _W["pay_time"]),
-    _scores_sql("amount", "spending_pow", persona.AMOUNT, _W["amount"]),
-    _scores_sql("tname", "tname", persona.BRAND, _W["tname"], persona.BRAND_OTHER),
-    _scores_sql("b1name", "b1_name", persona.CATEGORY, _W["b1name"], persona.CATEGORY_OTHER)])
-_SUMS = ", ".join("(" + "+".join(f"coalesce({f}_{b},0)" for f in _W) + f")::DECIMAL(8,3) sum_{b}" for b in persona.BANDS)
+    _scores_sql('pay_time', 'pay_time_slot', {
+    '凌晨': ('0.2', '0.1', '0.1', '0.1', '0.1', '0.1'),
+    '早晨': ('0.1', '0.1', '0.1', '0.1', '0.2', '0.3'),
+    '上午': ('0.2', '0.2', '0.2', '0.2', '0.3', '0.4'),
+    '中午': ('0.4', '0.4', '0.4', '0.4', '0.4', '0.3'),
+    '下午': ('0.4', '0.5', '0.5', '0.5', '0.5', '0.4'),
+    '晚上': ('0.8', '0.7', '0.6', '0.5', '0.4', '0.3'),
+    '夜间': ('0.9', '0.7', '0.5', '0.3', '0.2', '0.1')}, '0.1'),
+    _scores_sql('amount', 'spending_pow', {
+    'low': ('0.8', '0.6', '0.4', '0.3', '0.2', '0.1'),
+    'middle': ('0.2', '0.4', '0.6', '0.7', '0.8', '0.7'),
+    'high': ('0.1', '0.2', '0.3', '0.4', '0.5', '0.6')}, '0.15'),
+    _scores_sql('tname', 'tname', {
+    'TCL': ('0.2', '0.3', '0.4', '0.5', '0.6', '0.7'),
+    '苹果': ('0.9', '0.8', '0.7', '0.7', '0.7', '0.5'),
+    '联想': ('0.9', '0.8', '0.7', '0.7', '0.7', '0.5'),
+    '小米': ('0.9', '0.8', '0.7', '0.7', '0.7', '0.5'),
+    '欧莱雅': ('0.5', '0.6', '0.8', '0.8', '0.9', '0.2'),
+    '香奈儿': ('0.3', '0.4', '0.6', '0.8', '0.9', '0.2')}, '0.2', ('0.1', '0.2', '0.3', '0.4', '0.5', '0.6')),
+    _scores_sql('b1name', 'b1_name', {
+    '数码': ('0.9', '0.8', '0.6', '0.4', '0.2', '0.1'),
+    '手机': ('0.9', '0.8', '0.6', '0.4', '0.2', '0.1'),
+    '电脑办公': ('0.9', '0.8', '0.6', '0.4', '0.2', '0.1'),
+    '个护化妆': ('0.9', '0.8', '0.6', '0.4', '0.2', '0.1'),
+    '服饰内衣': ('0.9', '0.8', '0.6', '0.4', '0.2', '0.1'),
+    '家居家装': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '图书、音像、电子书刊': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '厨具': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '鞋靴': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '母婴': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '汽车用品': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '珠宝': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7'),
+    '家用电器': ('0.2', '0.4', '0.6', '0.8', '0.9', '0.7')}, '0.3', ('0.1', '0.2', '0.4', '0.5', '0.8', '0.9'))])
+_SUMS = ", ".join("(" + "+".join(f"coalesce({f}_{b},0)" for f in ('device', 'search', 'pay_time', 'amount', 'tname', 'b1name')) + f")::DECIMAL(8,3) sum_{b}" for b in _BANDS)
 _ZODIAC = "CASE " + " ".join(f"WHEN month(b)*100+day(b) <= {end} THEN '{name}'" for end, name in (
     (119, "摩羯座"), (218, "水瓶座"), (320, "双鱼座"), (419, "白羊座"), (520, "金牛座"), (621, "双子座"), (722, "巨蟹座"),
     (822, "狮子座"), (922, "处女座"), (1023, "天秤座"), (1122, "天蝎座"), (1221, "射手座"))) + " ELSE '摩羯座' END"

@@ -481,7 +481,7 @@ def _(t):
 
 @query("page_overall_board", f"SELECT * REPLACE ({_DTR}, {_money('traffic_score', 'click_score', 'guidance_score', 'overall_score')}) FROM pb_overall")
 def _(t):
-    return page_board.overall_board(*_boards(t))
+    return page_board.overall_board(behaviour(t))
 
 
 def _range(c):
@@ -490,4 +490,4 @@ def _range(c):
 
 @query("page_score_summary", f"SELECT count(*) row_count, {_range('traffic_score')}, {_range('click_score')}, {_range('overall_score')} FROM pb_overall")
 def _(t):
-    return page_board.score_summary(page_board.overall_board(*_boards(t)))
+    return page_board.score_summary(page_board.overall_board(behaviour(t)))

@@ -16,8 +16,8 @@ from .base import query
 from .retail import log_day
 
 
-# The tables hold years of history in one batch, so keyed tables use one wide time slice.
-HISTORY_MS = 86_400_000 * 36_500
+# The tables hold years of history, so keyed tables are cut by year.
+HISTORY_MS = 86_400_000 * 365
 
 
 def run(t: Inputs, stream: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -231,16 +231,11 @@ CTES.update({
 _LINE = "order_id, user_id, sku_id, province_id, activity_id, activity_rule_id, coupon_id, sku_num, split_original_amount, split_activity_amount, split_coupon_amount"
 
 
-def joined_lines(t: Inputs, log: DataFrame) -> DataFrame:
-    """Streaming order lines as the detail job publishes them (its parts come from one topic)."""
-    lines = trade.detail_rows(log)
-    key = F.split("id", "-")
-    number, order = key[1].cast("bigint"), F.col("order_id").cast("bigint")
-    user = F.lit(None).cast("string")
-    return lines.withColumn("user_id", user).withColumn("province_id", user) \
-        .withColumn("activity_id", F.when((number == 1) & (order % 2 == 0), (order % 6).cast("string"))) \
-        .withColumn("activity_rule_id", F.when((number == 1) & (order % 2 == 0), (order % 25).cast("string"))) \
-        .withColumn("coupon_id", F.when((number == 2) & (order % 3 == 1), (order % 25).cast("string")))
+def published_lines(t: Inputs) -> DataFrame:
+    """Stream of the order lines that the detail job has published, with user and province."""
+    job = trade.OrderDetailJoin(t.spark, scratch_path(t.spark, "order_detail"), slice_ms=HISTORY_MS)
+    run_batches(t, changes(t), job.step, "order_detail")
+    return job.result.stream()
 
 
 @query("stream_cdc_mirror", """SELECT 'order_detail' AS "table", count(*) n FROM c_line UNION ALL SELECT 'order_info', count(*) FROM heads UNION ALL
@@ -265,19 +260,19 @@ def _(t):
     return job.result.latest()
 
 
-@query("stream_order_cancel", f"""SELECT id, {_LINE.replace('user_id', 'NULL::VARCHAR user_id').replace('province_id', 'NULL::VARCHAR province_id')}, split_total_amount,
+@query("stream_order_cancel", f"""SELECT id, {_LINE}, split_total_amount,
     strftime(ordered + INTERVAL 2 HOUR,'%Y-%m-%d') date_id, (ms+7200000)::VARCHAR operate_time, ms ts_ms FROM c_line WHERE o_orderstatus='P'""")
 def _(t):
-    out = trade.cancelled_lines(joined_lines(t, changes(t, "order_detail")), trade.cancellations(changes(t, "order_info")), timed, "30 MINUTES", "30 MINUTES")
+    out = trade.cancelled_lines(published_lines(t), trade.cancellations(changes(t, "order_info")), timed, "30 MINUTES", "30 MINUTES")
     return run(t, out, "cancel")
 
 
-@query("stream_payment_success", f"""SELECT id order_detail_id, {_LINE.replace('user_id', 'NULL::VARCHAR user_id').replace('province_id', 'NULL::VARCHAR province_id')},
+@query("stream_payment_success", f"""SELECT id order_detail_id, {_LINE},
     md5(d.dic_code) payment_type_code, d.dic_name payment_type_name, (ms+7200000)::VARCHAR callback_time, split_total_amount split_payment_amount, ms+o_orderkey%10*1000 ts_ms
     FROM c_line JOIN c_dic d ON d.dic_code='110'||(o_orderkey%6+1) WHERE o_orderstatus='F' AND abs(n*2000 - o_orderkey%10*1000) <= 5000""")
 def _(t):
     dic = trade.keyed_dictionary(t.dictionary)
-    out = trade.paid_lines(trade.payments(changes(t, "payment_info")), joined_lines(t, changes(t, "order_detail")), dic, timed)
+    out = trade.paid_lines(trade.payments(changes(t, "payment_info")), published_lines(t), dic, timed)
     return run(t, out, "payment")
 
 
