@@ -32,8 +32,8 @@ from . import bytetext as bt
 from .pieces import PieceIds
 
 SHARD_IDS = 1 << 20     # ids per shard; a longer document is a shard of its own
-FREQUENT = 1 / 1000     # a pair is replaced if it takes at least this share of a shard's symbols
-PER_ROUND = 256         # pairs replaced before the pairs are counted again
+FREQUENT = 1 / 20_000   # a pair is replaced if it takes at least this share of a shard's symbols
+PER_ROUND = 2048        # pairs replaced before the pairs are counted again
 SCHEMA = ("part int, seq int, doc_ids array<bigint>, doc_ends array<bigint>, first_rule int, rules array<int>, "
           "lengths array<int>, width int, symbols binary")
 
