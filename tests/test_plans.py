@@ -1,6 +1,7 @@
 """Golden rows for jobs with rules of their own."""
 
 import datetime as dt
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -57,3 +58,23 @@ def test_entry_winner_prefers_the_order(spark):
     log = spark.createDataFrame(rows, "page_id string, page_type string, visitor_id string, visit_time timestamp, is_order int, "
                                       "data_date date, terminal_type string")
     assert [(r["visitor_id"], r["is_order"]) for r in store_entry.entry_fact(log, "pc").collect()] == [("v", 1)]
+
+
+def test_day_job_rewrites_its_day_only(spark, folder):
+    from tidemart.operators.quality import EmptyLayer
+    from tidemart.plans import day_job
+    from tidemart.sources import tables
+
+    rows = [(1, "0", "2024-01-01"), (2, "1", "2024-01-01"), (3, "0", "2024-01-02"), (4, "0", "2024-01-02")]
+    ods = spark.createDataFrame(rows, "id int, is_deleted string, d string").selectExpr("id", "is_deleted", "cast(d as date) dt")
+    tables.overwrite_days(ods, f"{folder}/ods")
+    layers = [day_job.Layer("fact", f"{folder}/ods", f"{folder}/dwd", lambda r: r.select("id"))]
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        day_job.run_day(spark, layers, day)
+    got = sorted((r.id, str(r.dt)) for r in spark.read.parquet(f"{folder}/dwd").collect())
+    assert got == [(1, "2024-01-01"), (3, "2024-01-02"), (4, "2024-01-02")]
+    plan = day_job.read_day(spark, f"{folder}/ods", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert [r.id for r in day_job.recent_days(spark, f"{folder}/dwd", "2024-01-01", 1).collect()] == [1]
+    with pytest.raises(EmptyLayer):
+        day_job.run_day(spark, layers, "2024-01-03")

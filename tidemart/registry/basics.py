@@ -10,7 +10,7 @@ from ..bridge.sql import half_up, num
 from ..bridge.tables import LOG_DAY
 from ..functions import cleaning, keys, persona, ratios, timekeys
 from ..operators import joins, latest, lists, quality, ranking, recent, sets, shares
-from ..plans import retail_daily, retail_facts
+from ..plans import day_job, retail_daily, retail_facts
 from ..session import scratch_path
 from ..sources import files, tables
 from .base import query
@@ -300,6 +300,38 @@ def _(t):
     return t.spark.read.parquet(path).select("dt", "user_id", "n", "rewritten")
 
 
+_LAST_THREE = [f"2024-01-{d}" for d in (28, 29, 30)]
+
+
+@query("day_job_carts", f"""SELECT user_id, {_day('create_time::DATE', 'dt')}, count(*) cart_add_count_1d, sum(sku_num)::BIGINT cart_add_num_1d FROM cart_info
+    WHERE create_time::DATE BETWEEN {L_DAY}-2 AND {L_DAY} GROUP BY user_id, create_time::DATE""")
+def _(t):
+    """Source, fact and daily summary of three days, built day by day; the last day runs twice."""
+    root = scratch_path(t.spark, "carts")
+    tables.overwrite_days(t.cart_info.withColumn("dt", F.to_date("create_time")), f"{root}/ods")
+    layers = [day_job.Layer("fact", f"{root}/ods", f"{root}/dwd", lambda rows: retail_facts.cart_add_fact(rows.drop("dt"))),
+              day_job.Layer("summary", f"{root}/dwd", f"{root}/dws", lambda rows: retail_daily.user_cart_daily(rows))]
+    for day in [*_LAST_THREE, _LAST_THREE[-1]]:
+        day_job.run_day(t.spark, layers, day)
+    return day_job.recent_days(t.spark, f"{root}/dws", LOG_DAY, 30).select("user_id", "dt", "cart_add_count_1d", "cart_add_num_1d")
+
+
+@query("day_job_waybills", f"""SELECT strftime(date_trunc('year', ordered)::DATE,'%Y-%m-%d') dt, status, count(*) n, sum(amount)::DOUBLE amount FROM waybill JOIN heads ON o_orderkey=id
+    WHERE is_deleted='0' GROUP BY 1, 2""")
+def _(t):
+    """The same for waybills, with one partition a year; rows deleted in the snapshot are left out by the job."""
+    root = scratch_path(t.spark, "waybills")
+    rows = t.waybill.join(t.heads.select(F.col("o_orderkey").alias("id"), F.to_date(F.trunc("ordered", "year")).alias("dt")), "id")
+    tables.overwrite_days(rows, f"{root}/ods")
+    layers = [day_job.Layer("fact", f"{root}/ods", f"{root}/dwd", lambda day: day.select("id", "status", "amount")),
+              day_job.Layer("summary", f"{root}/dwd", f"{root}/dws", lambda day: day.groupBy("status").agg(
+                  F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))]
+    days = tables.list_partitions(t.spark, f"{root}/ods")
+    for day in [*days, days[-1]]:
+        day_job.run_day(t.spark, layers, day)
+    return t.spark.read.parquet(f"{root}/dws").select("dt", "status", "n", F.col("amount").cast("double").alias("amount"))
+
+
 @query("table_accumulate_report", f"""SELECT {_day('d', 'dt')}, event_type, n FROM (SELECT ts::DATE d, event_type, count(*) n FROM ev GROUP BY 1,2) WHERE d >= {L_DAY}-2""")
 def _(t):
     """Three report days arrive one after the other, the last one twice."""
