@@ -38,10 +38,6 @@ def half_up(value: Column, digits: int) -> Column:
 
 
 # Bounce rules: which page view or session counts as bounced.
-def single_page(page_count: Column) -> Column:
-    return page_count == 1
-
-
 def short_stay(seconds: Column, limit: float, inclusive: bool = True) -> Column:
     return seconds <= limit if inclusive else seconds < limit
 

@@ -31,10 +31,6 @@ def iso_text(text: Column) -> Column:
     return F.date_format(from_iso(text), SECOND)
 
 
-def day_of(ts: Column) -> Column:
-    return F.to_date(ts)
-
-
 def compact_day(ts: Column) -> Column:
     return F.date_format(ts, COMPACT_DAY)
 
@@ -56,10 +52,6 @@ def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
-def days_before(as_of: Column, n: int) -> Column:
-    return F.date_sub(as_of, n)
-
-
 def within_recent(day: Column, as_of: Column, n) -> Column:
     """True for the `n` days ending at `as_of`; day `as_of - n` is already out.
 

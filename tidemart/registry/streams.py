@@ -100,7 +100,7 @@ def _(t):
 def _(t):
     root = scratch_path(t.spark, "split")
     run_batches(t, ingest.page_logs(log_stream(t)),
-                lambda batch, i: runner.write_branches(logsplit.split(batch), root, i), "split")
+                lambda batch, i: runner.write_branches(batch, logsplit.split, root, i), "split")
     parts = []
     for name in logsplit.BRANCHES:
         rows = t.spark.read.parquet(f"{root}/{name}")

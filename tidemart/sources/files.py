@@ -23,8 +23,3 @@ def write_columnar(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     if fmt not in ("parquet", "orc"):
         raise ValueError(f"unsupported format {fmt}")
     df.write.format(fmt).mode(mode).option("compression", compression).partitionBy(*partition_by).save(path)
-
-
-def load_table_file(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
-    """A delimited file without header as a table, for example a prepared calendar."""
-    return spark.read.schema(schema).csv(path, sep=sep, header=False)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 from ..functions.keys import row_key
-from ..sources import cdc
 from ..sources.upsert import DAY_MS, UpsertTable
 
 ROUTED = T.StructType([
@@ -46,7 +45,3 @@ def sync_step(store: UpsertTable, read_routes: Callable[[], DataFrame]) -> Calla
     def step(batch: DataFrame, batch_id: int) -> None:
         store.upsert(route(batch, read_routes()), batch_id)
     return step
-
-
-def parsed_changes(rows: DataFrame) -> DataFrame:
-    return cdc.parse(rows)

@@ -30,10 +30,14 @@ def per_batch(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpo
     return _trigger(writer, once, seconds).start()
 
 
-def write_branches(branches: Mapping[str, DataFrame], root: str, batch_id: int) -> None:
-    """Each branch of a batch under its own table, in the batch's own partition."""
-    for name, frame in branches.items():
-        frame.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+def write_branches(batch: DataFrame, split: Callable[[DataFrame], Mapping[str, DataFrame]], root: str, batch_id: int) -> None:
+    """Each branch of a batch under its own table, in the batch's own partition; the batch is made once."""
+    batch = batch.persist()
+    try:
+        for name, frame in split(batch).items():
+            frame.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> None:
