@@ -205,7 +205,8 @@ def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], la
         F.try_divide("word_chars", "n_ranks").alias("chars_per_rank"), failed.alias("base_failed"),
         (F.col(f"row.`{lang}`").cast("string") if lang in carry else F.lit(None).cast("string")).alias("language")), "measured")
     for key in ("language", "script"):
-        bands = _bands(rows, key)
+        # Written, so that its size is known when the join is planned: a handful of rows, no shuffle of the texts.
+        bands = written(_bands(rows, key), "bands")
         rows = rows.join(bands.withColumnRenamed("band", key), key, "left")
     inside = F.lit(False)
     for script, (low, high, low_rank, high_rank, most_bytes, least_bits) in LIMITS.items():
