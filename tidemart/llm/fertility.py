@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as bt
+from .caches import hold
 from .store import written
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", dtype=np.uint8))
@@ -48,7 +49,7 @@ LIMITS = {
 WIDTH, SHORT = 5.0, 200
 ENOUGH = 500   # texts that a language or script needs for a band of its own
 LONG = 200
-CACHED = 600_000
+CACHED = 300_000
 
 
 class _Vocabularies:
@@ -172,6 +173,7 @@ def measured(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabularies = _vocabularies(piece_path, rank_path)
+        hold("fertility", vocabularies.known.clear)
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 counts, words = base_counts(data, offsets)

@@ -12,7 +12,7 @@ import pandas as pd
 from . import bytetext as bt
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-CACHED = 900_000   # distinct pieces whose ids a worker remembers; past that it starts anew
+CACHED = 500_000   # distinct pieces whose ids a worker remembers; past that it starts anew
 #: The suffixes that the public pattern splits off after an apostrophe.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 

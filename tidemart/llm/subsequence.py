@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as bt
+from .caches import hold
 from .store import written
 
 TOXIC, CLEAN = 6000, 14000   # most labelled texts used
@@ -41,7 +42,7 @@ LETTERS = 16                 # a longer word is read in windows of so many lette
 SPAN = 5                     # letters from the first to the last of a subsequence
 DECAY = 0.6                  # discount per letter skipped
 CUT = 0.3                    # score from which a text counts as toxic
-CACHED = 600_000
+CACHED = 300_000
 #: Digits and signs that stand for letters inside a word.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 
@@ -224,6 +225,7 @@ class _Folded:
 
     def __init__(self):
         self.known: dict[int, str] = {}
+        hold("folded words", self.known.clear)
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct folded words, the word of each token, and the row of each token."""

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytetext as bt
+from .caches import hold
 from .components import components
 from .store import written
 
@@ -114,6 +115,7 @@ def _lists(values: np.ndarray, rows: np.ndarray) -> pa.Array:
 def signed(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, set size, class digest, signature and band keys of each row."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("signatures")
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 sets, rows = shingle_sets(data, offsets, size)
