@@ -62,6 +62,45 @@ def test_links_at_the_limit(spark):
     _check(spark.createDataFrame(list(enumerate(pair(85, 8, 7) + pair(84, 8, 8))), "doc_id long, text string"))
 
 
+def test_a_passage_of_many_unlike_texts(spark, monkeypatch):
+    """Texts that share half of their words with all others (J = 1/3) fill large buckets, which shrink in few rounds."""
+    rounds, star = [], sm._star
+
+    def counted(*args):
+        rounds.append(1)
+        assert len(rounds) <= 3, "buckets don't shrink"
+        return star(*args)
+
+    monkeypatch.setattr(sm, "DIRECT", 8)
+    monkeypatch.setattr(sm, "_star", counted)
+    shared = [f"s{k}" for k in range(54)]
+    texts = [" ".join(shared + [f"o{d}x{k}" for k in range(50)]) for d in range(1000)]
+    twins = {1000 + k: 50 * k for k in range(20)}
+    texts += [f"{texts[d]} more" for d in twins.values()]
+    got = {r.doc_id: r.component_id for r in sm.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {k: twins.get(k, k) for k in range(len(texts))}
+
+
+def test_a_cut_bucket_keeps_every_match(spark):
+    """Members that match meet in a smaller bucket, whatever they share with all others."""
+    random.seed(8)
+    sets = {}
+    for family in range(30):
+        own = list(range(50)) + [random.randrange(10**6) for _ in range(random.choice((30, 100, 200)))]
+        for k in range(6):
+            sets[b"%d-%d" % (family, k)] = set(own) - set(random.sample(own, random.randint(0, len(own) // 8)))
+    far = spark.createDataFrame([(7, c, 1) for c in sets], "key long, cls binary, pop long")
+    full = spark.createDataFrame([(c, sorted(s)) for c, s in sets.items()], "cls binary, items array<long>")
+    met, size = set(), {}
+    for r in sm._cut(far, full, 85).groupBy("key").agg({"cls": "collect_list"}).collect():
+        members = sorted(bytes(c) for c in r[1])
+        size[r.key] = len(members)
+        met |= {(a, b) for a in members for b in members if a < b}
+    match = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert len(match) > 100 and match <= met and max(size.values()) < len(sets) // 2
+
+
 def test_signature_is_superminhash():
     """Against the definition: element after element, swap after swap."""
     random.seed(2)

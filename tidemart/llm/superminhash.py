@@ -10,7 +10,8 @@ buckets, and every member is compared with the centre on full sets (a star, neve
 What stays open is split by the differences from the centre: two members that match although
 not both match the centre must share difference elements, so only members that share one of
 a prefix of them meet again, in a smaller bucket. Members unlike the centre meet in a bucket
-of their own. Stars of up to DIRECT members are finished in one task instead of being split.
+of their own; with more than DIRECT members it is split by the rarest elements of their sets.
+Stars of up to DIRECT members are finished in one task instead of being split.
 Rounds end when no bucket is open.
 
 Rows: NULL, empty or blank text has an empty set and links with nothing. Repeated rows and
@@ -237,10 +238,8 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85) -> tuple[DataFrame,
         count = far.groupBy("key").agg(F.count("*").alias("members"))
         far = written(far.join(count, "key"), "far")
         led = _led(far.where(F.col("members") <= DIRECT), known)
-        # A larger bucket is cut by the members' other bands: two that match share several.
-        cut = far.where(F.col("members") > DIRECT).join(buckets.select("cls", F.col("key").alias("band")), "cls")
-        cut = cut.select(F.xxhash64("key", "band").alias("key"), "cls", "pop")
-        open_rows = parts.unionByName(led).unionByName(_centred(cut))
+        cut = _cut(far.where(F.col("members") > DIRECT).select("key", "cls", "pop"), sets, percent)
+        open_rows = parts.unionByName(led).unionByName(_centred(_open(cut, roots)))
 
 
 def _centred(buckets: DataFrame) -> DataFrame:
@@ -322,6 +321,24 @@ def _star(open_rows: DataFrame, known: DataFrame, sets: DataFrame, percent: int)
     return written(star, "star"), far
 
 
+def _cut(far: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Smaller buckets (key, cls, pop) of a bucket too large for one task, by the rarest elements of the whole sets.
+
+    Two members that match share at least `percent` of the elements of each, so they share one of the
+    first n - least + 1 in any common order: here by the number of the bucket's members that have them.
+    An element that many have is among the first only of members that consist of such elements; these
+    are like each other and meet in the next round's star.
+    """
+    items = far.join(sets, "cls").select("key", "cls", "pop", F.size("items").alias("n"), F.explode("items").alias("item"))
+    often = items.groupBy("key", "item").agg(F.count("*").alias("k")).where("k > 1")
+    # As in _torn, an element of one member alone joins nothing, but takes its place in the order.
+    order = items.join(often, ["key", "item"]).groupBy("key", "cls", "pop", "n").agg(
+        F.sort_array(F.collect_list(F.struct("k", "item"))).alias("often"))
+    first = F.floor((100 - percent) * F.col("n") / 100).cast("int") + 1 - (F.col("n") - F.size("often"))
+    firsts = order.select("key", "cls", "pop", F.explode(F.slice("often", F.lit(1), F.greatest(first, F.lit(0)))).alias("o"))
+    return firsts.select(F.xxhash64("key", "o.item").alias("key"), "cls", "pop")
+
+
 def _torn(star: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links between members of a star that don't both match its centre: (links, buckets for another round).
 
