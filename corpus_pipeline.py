@@ -9,9 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import bpe, fertility, subsequence, suffixes
+from tidemart.llm import bpe, fertility, subsequence, suffixes, superminhash
 from tidemart.llm.store import table, written
-from tidemart.llm.superminhash import near_duplicates
 
 TOXIC_FROM = 0.3
 
@@ -30,9 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    kept = near_duplicates(docs, size=5, percent=85).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near duplicates: the one with the smallest doc_id, then class, then text."""
+    return superminhash.one_of_each(docs, size=5, percent=85)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,23 @@ def test_pipeline_edges(spark, edge_docs, monkeypatch, folder):
     assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([*range(40), None], key=str)
 
 
+def test_different_texts_under_one_id_stay(spark):
+    """Under NULL and under a repeated id; of near duplicates one row stays, whatever ids they have."""
+    def text(name, words=60):
+        return " ".join(f"{name}{k}" for k in range(words))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " more"), (7, text("c")), (7, text("d")), (7, text("d")), (3, text("d") + " more"),
+            (None, text("c")), (8, text("e")), (9, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = corpus_pipeline.one_of_each(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    b = [x for x in got if x[1] and x[1].startswith("b0")]
+    assert len(b) == 1 and b[0] in rows
+    assert sorted((x for x in got if x not in b), key=str) == sorted(
+        [(None, text("a")), (7, text("c")), (3, text("d") + " more"), (8, text("e")), (9, ""), (9, None)], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_query_runs(spark, name):
     df = queries.QUERIES[name](spark, FOLDER)

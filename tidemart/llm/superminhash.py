@@ -113,8 +113,11 @@ def _lists(values: np.ndarray, rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(values))
 
 
-def signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, set size, class digest, signature and band keys of each row."""
+def signed(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
+    """doc_id, set size, class digest, signature and band keys of each row; with `digest` its text's as `text_key`."""
+    extra = [F.md5("text").alias("text_key")] if digest else []
+    schema = pa.schema([*SIGNED, *[pa.field("text_key", pa.string())] * digest])
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("signatures")
         for batch in batches:
@@ -129,10 +132,11 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.record_batch([
                     batch.column(0).slice(row, n), pa.array(np.diff(rows)), pa.array(set_digest(sets, rows), pa.binary()),
                     _lists(signature[full].reshape(-1), per * PLACES),
-                    _lists(keys[full].reshape(-1), per * keys.shape[1])], schema=SIGNED)
+                    _lists(keys[full].reshape(-1), per * keys.shape[1]),
+                    *[c.slice(row, n) for c in batch.columns[2:]]], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        sign, "doc_id bigint, n_shingles bigint, cls binary, sig array<int>, bands array<bigint>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *extra).mapInArrow(
+        sign, "doc_id bigint, n_shingles bigint, cls binary, sig array<int>, bands array<bigint>" + ", text_key string" * digest)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -206,9 +210,9 @@ def _compared(groups: DataFrame, percent: int) -> DataFrame:
     return groups.select("members").mapInArrow(compare, "a binary, b binary")
 
 
-def links(docs: DataFrame, size: int = 5, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, size: int = 5, percent: int = 85, digest: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows with their class, links between classes)."""
-    rows = written(signed(docs, size), "signed")
+    rows = written(signed(docs, size, digest), "signed")
     each = rows.where("cls is not null").select("cls", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high")
     buckets = written(each.join(shared.select("key"), "key").distinct(), "buckets")
@@ -225,7 +229,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85) -> tuple[DataFrame,
         open_rows = written(open_rows, "open")
         if open_rows.isEmpty():
             none = open_rows.select(F.col("centre").alias("a"), F.col("cls").alias("b"))
-            return rows.select("doc_id", "n_shingles", "cls"), none if found is None else found
+            return rows.drop("sig", "bands"), none if found is None else found
         star, far = _star(open_rows, known, sets, percent)
         hits = star.where("linked").select(F.col("centre").alias("a"), F.col("cls").alias("b"))
         found = hits if found is None else found.unionByName(hits)
@@ -395,3 +399,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFr
     out = rows.join(groups, "cls", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFrame:
+    """One row of `docs` for each group of near duplicates, by (doc_id, class, text); a NULL doc_id comes last.
+
+    Rows are told apart by doc_id and text, so texts that are not alike stay whatever ids they share.
+    Texts without shingles are like nothing: each stays, equal rows once.
+    """
+    rows, edges = links(docs, size, percent, digest=True)
+    roots = components(edges).withColumnRenamed("node", "cls")
+    full = rows.where("cls is not null").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls", "text_key")).alias("row"))
+    kept = first.select("row.doc_id", "row.text_key").unionByName(rows.where("cls is null").select("doc_id", "text_key").distinct())
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    # A name that no column of the documents has.
+    name = "_".join(["text_key", *docs.columns])
+    keyed = docs.withColumn(name, F.md5("text"))
+    same = keyed["doc_id"].cast("bigint").eqNullSafe(kept["kept_id"]) & keyed[name].eqNullSafe(kept["kept_key"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
