@@ -71,6 +71,29 @@ def test_rules(spark, edge_docs, no_docs, monkeypatch):
     assert fertility.ruled(no_docs, PIECES, RANKS, ["doc_id"]).count() == 0
 
 
+def test_byte_and_entropy_bands_come_from_the_corpus(spark, monkeypatch):
+    """Inside every fixed limit and with the characters per token left out, these two measures still reject."""
+    for name, value in (("WIDTH", 1e9), ("ENOUGH", 20), ("ENOUGH_ENTROPY", 20)):
+        monkeypatch.setattr(fertility, name, value)
+    random.seed(5)
+    words = "the cat of house tree river green walks slowly under bright morning sky with many friends and old stories".split()
+
+    def few():
+        while True:
+            got = random.choices(words[:4], k=30)
+            if len({tuple(got[k:k + 5]) for k in range(26)}) == 26:
+                return " ".join(got)
+
+    docs = [(k, " ".join(random.choices(words, k=30 if k % 2 else 300)), "en") for k in range(300)]
+    docs += [(1000 + k, few(), "en") for k in range(3)]
+    docs += [(2000 + k, " ".join(w + "\ue000" * (j % 10 == 0) for j, w in enumerate(random.choices(words, k=300))), "en") for k in range(3)]
+    rows = fertility.ruled(spark.createDataFrame(docs, "doc_id long, text string, lang string"), PIECES, RANKS, ["doc_id", "lang"])
+    rows = {r.doc_id: r for r in rows.select("row.doc_id", "base_failed", "kept", "n_bytes", "n_pieces", "script").collect()}
+    assert not any(r.base_failed for r in rows.values()) and {r.script for r in rows.values()} == {"latin"}
+    assert all(0.1 < rows[k].n_bytes / rows[k].n_pieces < 0.25 for k in range(2000, 2003))
+    assert not any(rows[k].kept for k in rows if k >= 1000) and sum(rows[k].kept for k in range(300)) >= 295
+
+
 def test_folded_weights_equal_the_kernel():
     random.seed(3)
     words = sorted({"".join(random.choices("abcdeo", k=random.randint(3, 10))) for _ in range(40)})

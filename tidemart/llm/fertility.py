@@ -3,9 +3,10 @@
 Base counts: words, characters, symbols, lines equal to an earlier line, words inside repeated
 five-word windows. Fertility: two public vocabularies measure how a text falls into tokens,
 namely characters per token, the share of byte-fallback tokens and the entropy of the tokens. A
-text is rejected when its characters per token leave the band of its language, or of its script
-where the language has too few texts, or when a measure leaves the script's limits. The bands are
-medians and spreads over all texts that pass the base rule.
+text is rejected when one of them leaves the band of its language, or of its script where the
+language has too few texts, or when a measure leaves the script's limits. The bands are medians
+and spreads over all texts that pass the base rule; entropy, which grows with the number of
+tokens, has a band for each half octave of it.
 
 Rows: NULL or empty text has no words and fails the base rule. Repeated rows and equal ids keep
 one row each. NULL or unknown languages use the band of the script. Columns of the documents are
@@ -48,6 +49,12 @@ LIMITS = {
 #: / 1.349). A text of n tokens gets sqrt(1 + SHORT / n) times that, since few tokens vary more.
 WIDTH, SHORT = 5.0, 200
 ENOUGH = 500   # texts that a language or script needs for a band of its own
+#: Byte share: only above the median, in spreads of the upper half (95th percentile / 1.645) plus what
+#: one character more or less, of up to BYTES tokens, makes in a text of n tokens.
+BYTE_WIDTH, BYTES = 5.0, 4
+#: Entropy: spreads around the median of the texts with about as many tokens, each spread LEAST bits at least.
+ENTROPY_WIDTH, LEAST = 4.0, 0.05
+ENOUGH_ENTROPY = 100   # texts that a half octave needs for a band of its own
 LONG = 200
 CACHED = 300_000
 
@@ -195,6 +202,24 @@ def _bands(rows: DataFrame, key: str) -> DataFrame:
             "spread")).alias(f"{key}_{c}") for c in ("chars_per_piece", "chars_per_rank")])
 
 
+def _byte_bands(rows: DataFrame, key: str) -> DataFrame:
+    """Median and upper spread of the byte share of each language or script with enough texts."""
+    found = rows.where(~F.col("base_failed") & F.col(key).isNotNull()).groupBy(key).agg(
+        F.count("*").alias("texts"), F.percentile_approx("byte_share", [0.5, 0.95], 10_000).alias("share"))
+    return found.where(F.col("texts") >= ENOUGH).select(F.col(key).alias("band"), F.struct(
+        F.element_at("share", 1).alias("middle"), ((F.element_at("share", 2) - F.element_at("share", 1)) / 1.645).alias(
+            "spread")).alias(f"{key}_byte_share"))
+
+
+def _entropy_bands(rows: DataFrame, key: str) -> DataFrame:
+    """Median and spread of the entropy of each language's or script's texts with about as many tokens."""
+    found = rows.where(~F.col("base_failed") & F.col(key).isNotNull() & F.col("octave").isNotNull()).groupBy(key, "octave").agg(
+        F.count("*").alias("texts"), F.percentile_approx("entropy", [0.25, 0.5, 0.75], 10_000).alias("bits"))
+    return found.where(F.col("texts") >= ENOUGH_ENTROPY).select(F.col(key).alias("band"), "octave", F.struct(
+        F.element_at("bits", 2).alias("middle"), F.greatest(F.lit(LEAST), (F.element_at("bits", 3) - F.element_at(
+            "bits", 1)) / 1.349).alias("spread")).alias(f"{key}_entropy"))
+
+
 def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], lang: str = "lang") -> DataFrame:
     """`measured` with the characters per token, base_failed and kept.
 
@@ -205,11 +230,17 @@ def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], la
     rows = written(rows.select(
         "*", F.try_divide("word_chars", "n_pieces").alias("chars_per_piece"),
         F.try_divide("word_chars", "n_ranks").alias("chars_per_rank"), failed.alias("base_failed"),
+        F.try_divide("n_bytes", "n_pieces").alias("byte_share"),
+        F.when(F.col("n_pieces") > 0, F.floor(2 * F.log2("n_pieces"))).alias("octave"),
         (F.col(f"row.`{lang}`").cast("string") if lang in carry else F.lit(None).cast("string")).alias("language")), "measured")
     for key in ("language", "script"):
         # Written, so that its size is known when the join is planned: a handful of rows, no shuffle of the texts.
         bands = written(_bands(rows, key), "bands")
         rows = rows.join(bands.withColumnRenamed("band", key), key, "left")
+        bands = written(_byte_bands(rows, key), "byte-bands")
+        rows = rows.join(bands.withColumnRenamed("band", key), key, "left")
+        bands = written(_entropy_bands(rows, key), "entropy-bands")
+        rows = rows.join(bands.withColumnRenamed("band", key), [key, "octave"], "left")
     inside = F.lit(False)
     for script, (low, high, low_rank, high_rank, most_bytes, least_bits) in LIMITS.items():
         inside = inside | (F.col("script") == script) & F.col("chars_per_piece").between(low, high) & F.col(
@@ -219,5 +250,11 @@ def ruled(docs: DataFrame, piece_path: str, rank_path: str, carry: list[str], la
         band = F.coalesce(F.col(f"language_{measure}"), F.col(f"script_{measure}"))
         width = WIDTH * band["spread"] * F.sqrt(1 + F.try_divide(F.lit(SHORT), F.col(tokens)))
         inside = inside & (band.isNull() | (F.abs(F.col(measure) - band["middle"]) <= width))
+    band = F.coalesce("language_byte_share", "script_byte_share")
+    noise = BYTES * (band["middle"] + BYTES / F.col("n_pieces")) / F.col("n_pieces")
+    width = BYTE_WIDTH * F.sqrt(band["spread"] * band["spread"] + noise)
+    inside = inside & (band.isNull() | (F.col("byte_share") <= band["middle"] + width))
+    band = F.coalesce("language_entropy", "script_entropy")
+    inside = inside & (band.isNull() | (F.abs(F.col("entropy") - band["middle"]) <= ENTROPY_WIDTH * band["spread"]))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return rows.select("row", *COUNTS, "entropy", "script", "chars_per_piece", "chars_per_rank", "base_failed", kept.alias("kept"))
