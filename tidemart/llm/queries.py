@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel
+from . import bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel, whitening
 from .store import table
 from .superminhash import near_duplicates
 
@@ -89,3 +89,10 @@ def op10_licence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licences.scanned(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return rows.select("row.doc_id", "n_words", F.explode("found").alias("f")).select(
         "doc_id", "n_words", "f.licence", "f.coverage", "f.matched", "f.begin_word", "f.end_word", "f.begin_char", "f.end_char")
+
+
+@query
+def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened scores of all embeddings on the 16 leading components."""
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), components=16, carry=["vec_id"])
+    return rows.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
