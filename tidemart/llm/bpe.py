@@ -179,7 +179,7 @@ def encoded(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids (array of int) and the text decoded from them, for each row of (doc_id, text)."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pieces = load(ranks_path)
-        hold(f"bpe {ranks_path}", pieces.known.clear)
+        hold(f"bpe {ranks_path}", pieces.clear)
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 got = list(_checked(bpe, pieces, data, offsets))
@@ -196,7 +196,7 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the decoded bytes."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pieces = load(ranks_path)
-        hold(f"bpe {ranks_path}", pieces.known.clear)
+        hold(f"bpe {ranks_path}", pieces.clear)
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 got = [(len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest())

@@ -130,7 +130,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> N
     """Encodes (doc_id, text), appends `end_id` to each document and writes the shards to `path`."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, vocabulary = _tokenizer(tokenizer_path)
-        hold(f"ids {tokenizer_path}", pieces.known.clear)
+        hold(f"ids {tokenizer_path}", pieces.clear)
         first_rule = max(vocabulary, end_id + 1)
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:

@@ -12,7 +12,8 @@ import pandas as pd
 from . import bytetext as bt
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-CACHED = 500_000   # distinct pieces whose ids a worker remembers; past that it starts anew
+CACHED = 48 << 20   # bytes that a worker's memory of pieces may take; past that it starts anew
+ENTRY = 150         # bytes of one remembered piece besides its ids: two objects and a place in the table
 #: The suffixes that the public pattern splits off after an apostrophe.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -69,29 +70,35 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 class PieceIds:
     """Token ids of chunks, with `encode` called on distinct pieces only.
 
-    `encode` gives the ids of all its pieces in a row, and the number of ids of each piece.
+    `encode` gives the ids of all its pieces in a row, and the number of ids of each piece. `split` cuts
+    a chunk into pieces that are encoded apart.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], split: Callable = pretokens):
+        self.encode, self.split, self.known, self.held = encode, split, {}, 0
+
+    def clear(self) -> None:
+        self.known.clear()
+        self.held = 0
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a chunk, and the n + 1 offsets of the rows."""
-        starts, ends, rows = pretokens(data, offsets)
+        starts, ends, rows = self.split(data, offsets)
         if not len(starts):
             return np.zeros(0, dtype="<u4"), rows
         code, distinct = pd.factorize(bt.hashes(data, starts, ends))
         first = np.empty(len(distinct), dtype=np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
         keys = distinct.tolist()
-        if len(self.known) > CACHED:
-            self.known.clear()
+        if self.held > CACHED:
+            self.clear()
         known = self.known
         new = [k for k, h in enumerate(keys) if h not in known]
         if new:
             pieces = [data[s:e].tobytes() for s, e in zip(starts[first[new]], ends[first[new]], strict=True)]
             ids, counts = self.encode(pieces)
             ids, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            self.held += len(ids) + ENTRY * len(new)
             begin = 0
             for k, stop in zip(new, stops, strict=True):
                 known[keys[k]] = ids[begin:stop]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel, whitening
+from . import alignment, bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel, whitening
 from .store import table
 from .superminhash import near_duplicates
 
@@ -96,3 +96,11 @@ def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened scores of all embeddings on the 16 leading components."""
     rows = whitening.whitened(table(spark, sf_dir, "embeddings"), components=16, carry=["vec_id"])
     return rows.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+@query
+def op12_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies for all documents."""
+    rows = alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
+    return rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), *alignment.COLUMNS, "groups_sha256")
