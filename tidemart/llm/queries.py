@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, bpe, chat, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel, whitening
+from . import alignment, bpe, chat, digests, fertility, grammar, licences, mainblocks, subsequence, suffixes, weaklabel, whitening
 from .store import table
 from .superminhash import near_duplicates
 
@@ -104,3 +104,9 @@ def op12_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                              public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
     return rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), *alignment.COLUMNS, "groups_sha256")
+
+
+@query
+def op13_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their likeness to an edited text and to the next document."""
+    return digests.compared(table(spark, sf_dir, "documents"))
