@@ -65,6 +65,18 @@ class Inputs:
             table.filter(place == k).repartition(1, F.lit(k)).write.mode("append").parquet(path)
         return self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
+    def even_batches(self, name: str, key: str, n: int = 4) -> DataFrame:
+        """The table as `n` micro-batches: equal spans of the whole-number column `key`, in that order. Each row has the
+        number of its batch as `place`; NULL goes with the first. An empty span is an empty batch."""
+        table = self.raw(name)
+        low, high = table.agg(F.min(key), F.max(key)).first()
+        place = F.lit(0) if low is None else F.coalesce(F.expr(f"cast(({key} - {low}) * {n} div ({high} - {low} + 1) as int)"), F.lit(0))
+        placed = table.withColumn("place", place)
+        path = scratch_path(self.spark, f"{name}-even")
+        for k in range(n):
+            placed.filter(F.col("place") == k).repartition(1, F.lit(k)).write.mode("append").parquet(path)
+        return self.spark.readStream.schema(placed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
     # ---- base tables with plain types -------------------------------------------------
 
     @cached_property

@@ -11,7 +11,8 @@ from ..plans import persona
 from ..session import scratch_path
 from ..sources import cdc, kafka
 from ..sources.upsert import UpsertTable
-from ..streaming import dedup, dimsync, ingest, joins, logsplit, profile, runner, screening, trade, visitors
+from ..sources.versions import Pins, VersionedTable
+from ..streaming import bloom, dedup, dimsync, ingest, joins, keyed, logsplit, profile, runner, screening, trade, visitors
 from .base import query
 from .retail import log_day
 
@@ -78,12 +79,7 @@ def _flag_rows(logs: DataFrame) -> DataFrame:
 def _(t):
     # Four micro-batches in the order of time, each unsorted.
     logs = Inputs.shape_log(Inputs.shape_events(t.batches("events", "ts"))).select(F.col("log").alias("value"))
-    flags = _flag_rows(ingest.page_logs(logs))
-    root = scratch_path(t.spark, "is_new")
-    schema = T.StructType().add("mid", "string").add("first_day", "long").add("last_ts", "long")
-    store = UpsertTable(t.spark, f"{root}/first", schema, ["mid"], version="last_ts")
-    run_batches(t, flags, visitors.repair_is_new_step(store, f"{root}/out"), "is_new")
-    return t.spark.read.schema(flags.schema).parquet(f"{root}/out").select(*flags.columns)
+    return run(t, keyed.repair_is_new(_flag_rows(ingest.page_logs(logs))), "is_new")
 
 
 @query("repair_is_new_batch", f"SELECT mid, ts, is_new FROM ({_REPAIRED})")
@@ -127,6 +123,12 @@ def _(t):
     return run(t, kept.select("user_id", "event_type", "k"), "dedup")
 
 
+@query("stream_bloom_distinct", "SELECT DISTINCT user_id, event_type, k FROM ev")
+def _(t):
+    rows = Inputs.shape_events(t.batches("events", "event_id")).select("user_id", "event_type", "k")
+    return run(t, bloom.distinct(rows, ["user_id", "event_type", "k"], expected=1 << 17, shards=8).drop(bloom.ALARM), "bloom")
+
+
 CTES["arrived"] = "SELECT event_id, user_id, event_type, (event_id*7919)%86400 seen FROM ev"
 _NEWER = """SELECT event_id, user_id, seen FROM (SELECT *, max(seen) OVER (PARTITION BY user_id ORDER BY event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) top FROM arrived) WHERE top IS NULL OR seen>top"""
@@ -139,11 +141,7 @@ def _arrived(rows: DataFrame) -> DataFrame:
 @query("stream_newer_only", _NEWER)
 def _(t):
     rows = _arrived(Inputs.shape_events(t.batches("events", "event_id")))
-    root = scratch_path(t.spark, "newer")
-    schema = T.StructType().add("user_id", "long").add("seen", "long")
-    store = UpsertTable(t.spark, f"{root}/newest", schema, ["user_id"], version="seen")
-    run_batches(t, rows, dedup.newer_only_step(store, f"{root}/out", "user_id", "seen", "event_id"), "newer")
-    return t.spark.read.schema(rows.schema).parquet(f"{root}/out").select(*rows.columns)
+    return run(t, keyed.newer_only(rows, "user_id", "seen", "event_id"), "newer")
 
 
 @query("newer_only_batch", _NEWER)
@@ -348,6 +346,46 @@ def _(t):
     return run(t, out.select("event_id", "place"), "lookup")
 
 
+# Positions that change while the stream runs: a version comes before each of its four batches.
+CTES.update({
+    "pos_change": """SELECT * FROM (SELECT n_nationkey::BIGINT id, v, CASE WHEN v=0 THEN 'c' WHEN (n_nationkey+v)%5=0 THEN 'd' WHEN (n_nationkey+v)%3=0 THEN 'u' END op,
+        CASE WHEN v=0 THEN n_name ELSE n_name||'/'||v END place FROM nation, range(4) r(v)) WHERE op IS NOT NULL""",
+    "ev_placed": "SELECT *, (event_id-(SELECT min(event_id) FROM ev))*4//((SELECT max(event_id)-min(event_id)+1 FROM ev)) v FROM ev",
+    "ev_pos": """SELECT e.event_id, e.v, arg_max(p.op, p.v) op, arg_max(p.place, p.v) place FROM ev_placed e LEFT JOIN pos_change p ON p.id=e.k AND p.v<=e.v GROUP BY e.event_id, e.v""",
+})
+_AS_OF = "SELECT event_id, CASE WHEN op IS NULL OR op='d' THEN {} ELSE place END place FROM ev_pos"
+
+
+def _position_changes(t: Inputs) -> DataFrame:
+    n, v = F.col("n_nationkey").cast("bigint"), F.col("v")
+    op = F.when(v == 0, "c").when((n + v) % 5 == 0, "d").when((n + v) % 3 == 0, "u")
+    rows = t.raw("nation").withColumn("v", F.explode(F.array(*[F.lit(k) for k in range(4)])))
+    return rows.select(n.alias("id"), "v", op.alias("op"), F.when(v == 0, F.col("n_name")).otherwise(F.concat_ws("/", "n_name", v)).alias("place")) \
+        .filter(F.col("op").isNotNull())
+
+
+def _register_as_of(name: str, how: str, missing: str | None, sql: str) -> None:
+    @query(name, sql)
+    def _(t):
+        root, given = scratch_path(t.spark, "as_of"), _position_changes(t)
+        positions = VersionedTable(t.spark, f"{root}/positions", given.drop("v", "op").schema, ["id"], fold_every=2)
+        stream = t.even_batches("events", "event_id")
+        rows = stream.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+        look = joins.lookup_step(positions, Pins(t.spark, f"{root}/pins"), joins.to_folder(f"{root}/out"), "k", "id", {"place": "place"}, how, missing)
+
+        def step(batch: DataFrame, batch_id: int) -> None:
+            positions.apply(given.filter(F.col("v") == batch_id).drop("v"), batch_id)   # what another job writes between two batches
+            look(batch, batch_id)
+
+        run_batches(t, rows, step, "as_of")
+        return t.spark.read.schema("event_id long, k long, place string").parquet(f"{root}/out").select("event_id", "place")
+
+
+_register_as_of("stream_lookup_as_of", "left", "N/A", _AS_OF.format("'N/A'"))
+_register_as_of("stream_lookup_as_of_left", "left", None, _AS_OF.format("NULL"))
+_register_as_of("stream_lookup_as_of_inner", "inner", None, f"SELECT * FROM ({_AS_OF.format('NULL')}) WHERE place IS NOT NULL")
+
+
 # ---- dimension sync ------------------------------------------------------------------------
 
 def routes(t: Inputs) -> DataFrame:
@@ -369,6 +407,50 @@ def _(t):
     return store.latest().withColumn("info", F.concat_ws("|", *cells))
 
 
+CTES.update({
+    "head_placed": "SELECT *, (o_orderkey-(SELECT min(o_orderkey) FROM orders))*4//((SELECT max(o_orderkey)-min(o_orderkey)+1 FROM orders)) v FROM heads",
+    "sink": "SELECT r_regionkey i, 'dim_'||lower(replace(r_name,' ','_')) sink_table FROM region",
+})
+
+#: Source table, and for each version that changes its route: operation, columns, key. One row of `region` per route.
+_ROUTES = [("order_info", {0: ("c", "id,order_status,province_id", "id")}), ("payment_info", {1: ("c", "order_id,payment_type", "order_id")}),
+           ("order_detail", {0: ("c", "id", "id"), 2: ("d", "id", "id")}),
+           ("order_refund_info", {0: ("c", "id", "id"), 2: ("u", "order_id,refund_num", "id")}),
+           ("refund_payment", {0: ("c", "order_id", "id"), 1: ("d", "order_id", "id"), 3: ("c", "order_id", "id")})]
+
+
+def _route_changes(t: Inputs) -> DataFrame:
+    """Config changes by version: routes appear, change, vanish and come back while the stream runs."""
+    rows = [(i, v, table, columns, key, op) for i, (table, steps) in enumerate(_ROUTES) for v, (op, columns, key) in steps.items()]
+    given = t.spark.createDataFrame(rows, "i int, v int, source_table string, sink_columns string, sink_row_key string, op string")
+    sink = F.concat(F.lit("dim_"), F.lower(F.replace("r_name", F.lit(" "), F.lit("_"))))
+    return given.join(t.raw("region"), F.col("i") == F.col("r_regionkey")).select(
+        "source_table", sink.alias("sink_table"), "sink_columns", F.lit("info").alias("sink_family"), "sink_row_key", "op",
+        F.col("v").cast("long").alias("ts_ms"), "v")
+
+
+@query("stream_live_routes", """SELECT sink_table, md5(key) row_key, info, ts_ms FROM (
+    SELECT 0 i, o_orderkey::VARCHAR AS "key", o_orderkey||'|'||CASE o_orderstatus WHEN 'F' THEN '1002' WHEN 'P' THEN '1003' ELSE '1006' END||'|'||(o_custkey%25) info,
+        epoch_ms(ordered) ts_ms FROM head_placed UNION ALL
+    SELECT 1, o_orderkey::VARCHAR, o_orderkey||'|110'||(o_orderkey%6+1), epoch_ms(ordered)+o_orderkey%10*1000 FROM head_placed WHERE o_orderstatus='F' AND v>=1 UNION ALL
+    SELECT 3, (o_orderkey+1)::VARCHAR, o_orderkey||'|'||(o_orderkey%3+1), epoch_ms(ordered)+60000 FROM head_placed WHERE o_orderstatus='O' AND v>=2 UNION ALL
+    SELECT 4, (o_orderkey+7)::VARCHAR, o_orderkey::VARCHAR, epoch_ms(ordered)+120000 FROM head_placed WHERE o_orderstatus='O' AND o_orderkey%2=0 AND v>=3) JOIN sink USING (i)""")
+def _(t):
+    root, given = scratch_path(t.spark, "live"), _route_changes(t)
+    table = dimsync.route_table(t.spark, f"{root}/routes")
+    configure = dimsync.config_step(table)
+    store = dimsync.live_store(t.spark, f"{root}/rows", HISTORY_MS)
+    sync = dimsync.live_sync_step(store, table, Pins(t.spark, f"{root}/pins"))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        configure(given.filter(F.col("v") == batch_id).drop("v"), batch_id)   # the config stream's batch that comes before
+        sync(batch, batch_id)
+
+    run_batches(t, cdc.parse(Inputs.change_log(t.even_batches("orders", "o_orderkey").drop("place"))), step, "live")
+    cells = [F.try_element_at(F.col("info"), F.lit(c)) for c in ("id", "order_id", "order_status", "payment_type", "province_id", "refund_num")]
+    return dimsync.live_rows(store, table).withColumn("info", F.concat_ws("|", *cells))
+
+
 @query("cdc_clean_images", """SELECT op, ("table" = 'x')::BIGINT has_before, count(*) n FROM (SELECT 'u' op, 'order_info' AS "table" FROM heads UNION ALL SELECT 'c', 'order_detail' FROM c_line UNION ALL
     SELECT 'c', 'a' FROM heads WHERE o_orderkey%2=0 UNION ALL SELECT 'c', 'b' FROM heads WHERE o_orderkey%3=1 UNION ALL SELECT 'u', 'p' FROM heads WHERE o_orderstatus='F' UNION ALL
     SELECT 'u', 'r' FROM heads WHERE o_orderstatus='O' UNION ALL SELECT 'u', 's' FROM heads WHERE o_orderstatus='O' AND o_orderkey%2=0) GROUP BY ALL""")
