@@ -1,29 +1,37 @@
 """Main text of web pages by block rules in two passes.
 
-A page falls into blocks at its block-level tags. In the first pass length, stop-word density,
-link density and the place in the page (menus, footers, forms, adverts, comments and the like are
-out; an article is in, save for link lists) decide the clear blocks. In the second pass each short
-block that is still open takes the label of the nearest decided block, of its own region first.
+A page falls into blocks at its block-level tags. The first pass adds up evidence for each block: its
+length, its stop-word density, its link density and what the tags around it say (menus, footers,
+forms, adverts, comments and the like speak against it, an article for it, a place outside the page's
+articles against it). Enough evidence either way decides the block. In the second pass each block that is
+still open, mostly short ones, takes the label of the nearest decided block, of its own region first;
+of two as near the one before. The stop words are those of four languages: on a page where no long block
+reaches the density they are left out of account, and length and links decide.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined
 by a line break. Rows: NULL or empty pages give empty text. Repeated rows and equal ids keep one
-row each. Broken markup never fails: an unclosed tag ends with its parent, a stray `<` is text.
+row each. Broken markup never fails: an unclosed tag ends with its parent, a `<` that no tag follows is
+text, as is one whose tag isn't closed before the next. Both passes take time in proportion to the page.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-LONG_WORDS = 20        # a block of so many words is decided by its stop words
-SHORT_WORDS = 8        # outside an article a shorter block is never decided by itself
-STOP_DENSITY = 0.12
+LONG_WORDS, SHORT_WORDS = 20, 8
+STOP_DENSITY, FEW_STOPS = 0.12, 0.04   # running text has as many stop words as the first, lists and slogans fewer than the second
 LINK_DENSITY = 0.5
+GOOD, BAD = 2.0, -1.0   # evidence that decides a block
+#: Evidence: words of a long and of a middling block, stop words of running text or too few of them, links, marked tags
+#: around it, inside an article, outside the page's articles.
+LONG, MIDDLING, RUNNING, SPARSE, LINKED, MARKED, ARTICLE, ELSEWHERE = 1.0, 0.5, 1.0, -1.0, -4.0, -6.0, 1.0, -3.0
 
 # Frequent function words of the languages that pages are written in.
 STOP_WORDS = frozenset("""
@@ -51,12 +59,43 @@ notices overlay pager pagination popup promo promotion promoted recommended rela
 sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget
 """.split())
 ARTICLE_HINTS = frozenset("comment comments reply replies related promo ad advert sponsored teaser".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+_STOP = re.compile(r"[<>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _close(page: str, at: int, last: dict[str, bool]) -> int:
+    """End of the tag whose attributes begin at `at`; -1 if another tag begins first. `last` notes quotes that don't recur."""
+    while m := _STOP.search(page, at):
+        if m[0] == ">":
+            return m.end()
+        if m[0] == "<":
+            return -1
+        end = -1 if m[0] in last else page.find(m[0], m.end())
+        if end < 0:
+            last[m[0]] = True   # never closed: an ordinary sign
+        at = max(end + 1, m.end())
+    return -1
+
+
+def _tag(page: str, at: int, last: dict[str, bool]) -> tuple[int, int, bool, str, str] | None:
+    """The next tag from `at`: begin, end, is it an end tag, name, attributes; a comment or declaration has no name."""
+    while (begin := page.find("<", at)) >= 0:
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            return begin, len(page) if end < 0 else end + 3, False, "", ""
+        if page[begin + 1:begin + 2] in ("!", "?"):
+            end = page.find(">", begin)
+            return begin, len(page) if end < 0 else end + 1, False, "", ""
+        m = _NAME.match(page, begin)
+        if m and (end := _close(page, m.end(), last)) >= 0:
+            return begin, end, bool(m[1]), m[2].lower(), page[m.end():end - 1]
+        at = begin + 1
+    return None
+
+
 @dataclass
 class Block:
     region: int                 # 0 outside any article, else the article's number
@@ -87,6 +126,8 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []   # open tags: name, out so far, region
+    opened: Counter[str] = Counter()          # how many of each name
+    last: dict[str, bool] = {}
     articles, breaks, link, at = 0, 0, False, 0
     endless: set[str] = set()                 # dropped tags without an end tag from here on
     now = Block(0, False)
@@ -109,19 +150,28 @@ def blocks(page: str) -> list[Block]:
             now.linked += len("".join(text.split()))
         now.parts.append(text)
 
+    def enter(name: str, out: bool, region: int) -> None:
+        stack.append((name, out, region))
+        opened[name] += 1
+
+    def leave() -> str:
+        name = stack.pop()[0]
+        opened[name] -= 1
+        return name
+
     while at < len(page):
-        m = _TAG.search(page, at)
+        m = _tag(page, at, last)
         if m is None:
             put(html.unescape(page[at:]))
             break
-        if m.start() > at:
-            put(html.unescape(page[at:m.start()]))
-        at = m.end()
-        if not m[2]:
+        begin, end_at, closing, tag, attributes = m
+        if begin > at:
+            put(html.unescape(page[at:begin]))
+        at = end_at
+        if not tag:
             continue
-        tag, closing = m[2].lower(), bool(m[1])
         if tag in DROPPED and not closing:
-            if not m[3].rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
                 end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if end is None:
                     endless.add(tag)
@@ -138,31 +188,31 @@ def blocks(page: str) -> list[Block]:
             link = not closing
             continue
         if tag not in BLOCKS and tag not in NESTED:
-            if not closing and _marked(tag, m[3]) and tag in ("span", "small", "ins", "section"):
-                stack.append((tag, True, place()[1]))
+            if not closing and _marked(tag, attributes) and tag in ("span", "small", "ins", "section"):
+                enter(tag, True, place()[1])
                 cut()
-            elif closing and any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            elif closing and opened[tag]:
+                while leave() != tag:
+                    continue
                 cut()
             continue
         link = False
         if tag in ("td", "th"):
             now.parts.append(" ")
         if closing:
-            if any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
-                    pass
-        elif tag in NESTED and not m[3].rstrip().endswith("/"):
+            if opened[tag]:
+                while leave() != tag:
+                    continue
+        elif tag in NESTED and not attributes.rstrip().endswith("/"):
             if tag in ("article", "main"):
                 while stack and stack[-1][0] in (*OUTSIDE, "header", "ul", "ol", "li") and stack[-1][1]:
-                    stack.pop()   # a menu that was never closed
+                    leave()   # a menu that was never closed
             out, region = place()
             if tag in ("article", "main") and not region:
                 articles += 1
                 region = articles
-            stack.append((tag, out or _marked(tag, m[3]) or tag == "header" and not region, region))
-        elif _marked(tag, m[3]):
+            enter(tag, out or _marked(tag, attributes) or tag == "header" and not region, region)
+        elif _marked(tag, attributes):
             cut()
             now.out = True
             continue
@@ -174,37 +224,54 @@ def blocks(page: str) -> list[Block]:
     return [b for b in found if b.text]
 
 
+def evidence(found: list[Block]) -> list[float]:
+    """First pass: how much speaks for each block being part of the main text."""
+    words = [[w.lower() for w in _WORD.findall(b.text)] for b in found]
+    density = [sum(w in STOP_WORDS for w in own) / max(1, len(own)) for own in words]
+    covered = any(len(own) >= LONG_WORDS and d >= STOP_DENSITY and not b.out for own, d, b in zip(words, density, found, strict=True))
+    article = any(b.region and not b.out for b in found)
+    out = []
+    for b, own, d in zip(found, words, density, strict=True):
+        long = len(own) >= LONG_WORDS
+        total = LONG if long else MIDDLING if len(own) >= SHORT_WORDS else 0.0
+        if covered:
+            total += RUNNING if d >= STOP_DENSITY and len(own) >= SHORT_WORDS else SPARSE if d < FEW_STOPS and long else 0.0
+        elif long:
+            total += RUNNING
+        total += LINKED * (b.linked > LINK_DENSITY * max(1, len(b.text.replace(" ", "")))) + MARKED * b.out
+        out.append(total + (ARTICLE if b.region else ELSEWHERE if article else 0.0))
+    return out
+
+
 def labels(found: list[Block]) -> list[bool]:
     """Is each block part of the main text?"""
-    article = any(b.region and not b.out for b in found)
-    first: list[bool | None] = []
-    for b in found:
-        words = [w.lower() for w in _WORD.findall(b.text)]
-        signs = max(1, len(b.text.replace(" ", "")))
-        density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if b.out or article and not b.region:
-            first.append(False)
-        elif b.linked > LINK_DENSITY * signs:
-            first.append(False)
-        elif len(words) >= LONG_WORDS:
-            first.append(True if b.region or density >= STOP_DENSITY else False)
-        elif len(words) >= SHORT_WORDS and density >= 2 * STOP_DENSITY:
-            first.append(True)
-        else:
-            first.append(None)
-    return [label if label is not None else _inherited(found, first, k) for k, label in enumerate(first)]
-
-
-def _inherited(found: list[Block], first: list[bool | None], k: int) -> bool:
-    """Label of the nearest decided block of the same region that isn't marked as outside; the block before wins ties."""
-    for same in (True, False):
-        near = [j for j, label in enumerate(first) if label is not None and not found[j].out
-                and (not same or found[j].region == found[k].region)]
-        if near:
-            return bool(first[min(near, key=lambda j: (abs(j - k), j))])
-        if found[k].region:
-            return True
-    return not any(label is not None and not found[j].out for j, label in enumerate(first))
+    first = [True if e >= GOOD else False if e <= BAD else None for e in evidence(found)]
+    before, after = _nearest(found, first, range(len(found))), _nearest(found, first, range(len(found) - 1, -1, -1))
+    decided = any(label is not None and not b.out for label, b in zip(first, found, strict=True))
+    out = []
+    for k, label in enumerate(first):
+        for same in (0, 1) if label is None else ():
+            near = [j for j in (before[k][same], after[k][same]) if j is not None]
+            if near:
+                label = first[min(near, key=lambda j: (abs(j - k), j))]
+                break
+            if found[k].region:
+                label = True   # nothing in its article is decided
+                break
+        out.append(not decided if label is None else label)
+    return out
+
+
+def _nearest(found: list[Block], first: list[bool | None], order: range) -> list[tuple[int | None, int | None]]:
+    """The last decided block met before each one in this order that isn't marked as outside: of its region, and of any."""
+    of: dict[int, int] = {}
+    anywhere = None
+    out: list[tuple[int | None, int | None]] = [(None, None)] * len(found)
+    for k in order:
+        out[k] = of.get(found[k].region), anywhere
+        if first[k] is not None and not found[k].out:
+            of[found[k].region] = anywhere = k
+    return out
 
 
 def main_text(page: str | None) -> str:
