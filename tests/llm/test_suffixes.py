@@ -70,3 +70,15 @@ def test_longest_match(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     r = suffixes.verdicts(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).first()
     assert (r.longest_words, r.longest_item, r.longest_at, r.n_hit) == (17, "7", 2, 28)
+
+
+def test_thirty_blocks_one_after_another(spark, monkeypatch):
+    """Every item a block of its own; the driver takes up a block only when those before are written."""
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 60)
+    items = [(f"i{k:02d}", " ".join(f"w{k}x{j}" for j in range(12))) for k in range(30)]
+    docs = spark.createDataFrame([(k, f"before {text} after") for k, (_, text) in enumerate(items)] + [(99, "clean text")], "doc_id long, text string")
+    taken, written = [], suffixes.written
+    monkeypatch.setattr(suffixes, "written", lambda df, name: (taken.append(name), written(df, name))[1])
+    rows = {r.doc_id: r for r in suffixes.verdicts(docs, spark.createDataFrame(items, "item_id string, text string"), 10).collect()}
+    assert all(rows[k].n_hit == 12 and rows[k].n_items == 1 and rows[k].longest_item == items[k][0] for k in range(30)) and not rows[99].contaminated
+    assert len(taken) >= 10

@@ -7,7 +7,8 @@ other on one diagonal make the longest match. Suffixes that start with a pair of
 test text has are left out of the array: no search could end there.
 
 The benchmark is the stated query set. It is read in blocks of bounded size; each block passes
-over all documents in the same job, so neither the driver nor a task holds more than a block.
+over all documents in a job of its own, whose state is written before the next block is read, so
+neither the driver nor a task holds more than a block.
 
 Rows: NULL or empty text has no words and is clean. Repeated rows and equal ids keep one row
 each. A benchmark item without words matches nothing; one without an id counts for hits but is
@@ -24,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as bt
+from .caches import hold
+from .store import written
 
 BLOCK_BYTES = 16 << 20   # benchmark text that is searched at a time
 
@@ -214,10 +217,13 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str =
         F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<bigint>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
         F.lit(None).cast("struct<words:bigint,item:string,doc_at:bigint,item_at:bigint>").alias("longest"))
-    for items in _blocks(benchmark, "item_id", "text"):
+    for number, items in enumerate(_blocks(benchmark, "item_id", "text")):
+        if number:   # the blocks before are done and let go before the next is taken up
+            state = written(state, "searched")
         tests = TestSet(items, window)
 
         def search(batches: Iterator[pa.RecordBatch], tests: TestSet = tests) -> Iterator[pa.RecordBatch]:
+            hold("suffixes")
             for batch in batches:
                 for columns in _searched(batch, tests):
                     yield pa.record_batch(columns, schema=batch.schema)
