@@ -239,7 +239,7 @@ def compared(docs: DataFrame) -> DataFrame:
     rows = keyed.withColumn("at", range_of("k", "h")).withColumn("after", F.lit(False))
     # The first document of each range once more, behind the range before; the first of all behind the last.
     first = spark.createDataFrame([(int(x), int(y), (at - 1) % len(k)) for at, (x, y) in enumerate(zip(k, h, strict=True))], "k bigint, h bigint, at int")
-    heads = keyed.join(first, ["k", "h"]).groupBy("k", "h", "at").agg(F.min(F.struct("text")).getField("text").alias("text"))
+    heads = keyed.join(F.broadcast(first), ["k", "h"])   # one row per range, a few bytes each.groupBy("k", "h", "at").agg(F.min(F.struct("text")).getField("text").alias("text"))
     behind = heads.select("k", "h", F.lit(None).cast("bigint").alias("doc_id"), "text", "at", F.lit(True).alias("after"))
     dealt = rows.unionByName(behind).repartition(parts_for(docs), "at").sortWithinPartitions("at", "after", "k", "h", "text")
     return dealt.select("doc_id", "text", "at", "after").mapInArrow(lambda batches: _compared(batches, ranks), ENTRY).select(
