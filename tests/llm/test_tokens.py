@@ -8,9 +8,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemart.llm import bpe, bytetext as bt, grammar
+from tidemart.llm import bpe, bytetext as bt, grammar, pieces
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,11 +60,9 @@ def test_hash_clash_is_repaired(library):
     engine, pieces = bpe.load(RANKS)
     data, offsets = bt.flat(pa.array(["clashing words"]))
     pieces.ids(data, offsets)
-    saved = dict(pieces.known)
-    wrong = np.array([1, 2], dtype="<u4").tobytes()
-    pieces.known.update(dict.fromkeys(saved, wrong))
+    pieces.memo.pool[:] = pieces.memo.pool[::-1] + 1
     (ids, decoded), = bpe._checked(engine, pieces, data, offsets)
-    pieces.known.clear()
+    pieces.clear()
     assert ids.tolist() == library.encode_ordinary("clashing words") and decoded == b"clashing words"
 
 
@@ -94,10 +93,11 @@ def test_repair_round_trip():
 def test_token_files(spark, edge_docs, no_docs, monkeypatch, folder):
     monkeypatch.setattr(grammar, "SHARD_IDS", 50)
     tokenizer = Tokenizer.from_file(LIBRARY)
-    tokenizer.encode_special_tokens = True
     extra = spark.createDataFrame([(k, f"text {k % 7} " * (k % 5)) for k in range(10, 80)], "doc_id long, text string")
-    docs = edge_docs.select("doc_id", "text").unionByName(extra).repartition(5)
-    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    special = spark.createDataFrame([(90, "a<|endoftext|>b"), (91, "<|endoftext|>"), (92, " <|endoftext|> <|endoftext|"), (93, ">b <|endoftext|>"),
+                                     *[(94, f"one of many under one id {k}") for k in range(60)]], "doc_id long, text string")
+    docs = edge_docs.select("doc_id", "text").unionByName(extra).unionByName(special).repartition(5)
+    rows = sorted(docs.withColumn("h", F.xxhash64("text")).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
     got = sorted(grammar.indexed(docs, LIBRARY).collect(), key=lambda r: r.start)
     start = 0
     for r, g in zip(rows, got, strict=True):
@@ -109,6 +109,27 @@ def test_token_files(spark, edge_docs, no_docs, monkeypatch, folder):
     back = {r.doc_id: r.ids for r in grammar.read_ids(spark, path).collect()}
     assert back == {r.doc_id: [*tokenizer.encode(r.text, add_special_tokens=False).ids, 2] for r in extra.collect()}
     assert grammar.indexed(no_docs, LIBRARY).count() == 0
+    own = grammar.write_ids(spark.createDataFrame([(7, f"text {k}") for k in range(400)], "doc_id long, text string").repartition(3), LIBRARY, 2, f"{folder}/one")
+    assert own is None and spark.read.parquet(f"{folder}/one").select("part").distinct().count() > 1   # one id, several partitions
+
+
+def test_memory_of_pieces_is_bounded_and_forgets_whole(monkeypatch):
+    memo = pieces.Memo(limit=4000)
+    rng, sizes = np.random.default_rng(1), []
+    for _ in range(40):
+        hashes = np.unique(rng.integers(0, 500, 60)).astype(np.uint64)
+        begin, size = memo.lookup(hashes, lambda new, h=hashes: (np.repeat(h[new], (h[new] % 4).astype(int)), (h[new] % 4).astype(np.int64)))
+        for h, b, n in zip(hashes.tolist(), begin.tolist(), size.tolist(), strict=True):
+            assert memo.pool[b:b + n].tolist() == [h] * (h % 4)
+        sizes.append(memo.held())
+    assert max(sizes) < 4000 + 60 * 40 and any(b < a for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_bytes_that_are_no_text(spark):
+    docs = spark.createDataFrame([(1, bytearray(b"ab\xff cd")), (2, bytearray(b"\xe6\xbc"))], "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) text")
+    want = {r.doc_id: bytes(r.t) for r in docs.select("doc_id", F.make_valid_utf8("text").cast("binary").alias("t")).collect()}
+    assert {r.doc_id: r.decoded_sha256 for r in bpe.digests(docs, RANKS).collect()} == {k: hashlib.sha256(t).hexdigest() for k, t in want.items()}
+    assert grammar.indexed(docs, LIBRARY).count() == 2
 
 
 def test_ranks_file_is_complete():

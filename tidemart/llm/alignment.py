@@ -236,7 +236,7 @@ def per_text(docs: DataFrame, a_path: str, b_path: str, carry: Sequence[str]) ->
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = vocabularies(a_path, b_path)
-        hold(f"align {a_path} {b_path}", lambda: (a.pieces.clear(), b.pieces.clear()))
+        hold(f"align {a_path} {b_path}", lambda: (a.pieces.clear(), b.pieces.clear(), vocabularies.cache_clear()))
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 own = Aligned(a, b, *spaced(data, offsets))

@@ -179,7 +179,7 @@ def encoded(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids (array of int) and the text decoded from them, for each row of (doc_id, text)."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pieces = load(ranks_path)
-        hold(f"bpe {ranks_path}", pieces.clear)
+        hold(f"bpe {ranks_path}", lambda: (pieces.clear(), load.cache_clear()))
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 got = list(_checked(bpe, pieces, data, offsets))
@@ -188,7 +188,7 @@ def encoded(docs: DataFrame, ranks_path: str) -> DataFrame:
                     pa.array([x.astype(np.int32) for x, _ in got], pa.list_(pa.int32())),
                     pa.array([d.decode("utf-8", "replace") for _, d in got], pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.make_valid_utf8("text").alias("text")).mapInArrow(
         encode, "doc_id bigint, ids array<int>, decoded string")
 
 
@@ -196,7 +196,7 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the decoded bytes."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pieces = load(ranks_path)
-        hold(f"bpe {ranks_path}", pieces.clear)
+        hold(f"bpe {ranks_path}", lambda: (pieces.clear(), load.cache_clear()))
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 got = [(len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest())
@@ -206,5 +206,5 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
                     pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.make_valid_utf8("text").alias("text")).mapInArrow(
         encode, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -11,13 +11,16 @@ to the end of each document), first_rule (symbols below it are ids), rules (left
 symbol of each rule, in turn), lengths (expansion length of each rule), width (bytes per
 symbol), symbols (little-endian).
 
-NULL counts as empty text: such a document holds the end id alone. Equal doc_ids are ordered by
-text; a NULL doc_id comes first. Further columns of the input are not looked at.
+NULL counts as empty text: such a document holds the end id alone. Equal doc_ids are ordered by a
+hash of the text, then by the text, so that many rows under one doc_id spread over partitions; a
+NULL doc_id comes first. Strings of special tokens inside a text become those tokens, as the library
+has it. Bytes that aren't UTF-8 are replaced first. Further columns of the input are not looked at.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +34,7 @@ from ..session import scratch_path
 from . import bytetext as bt
 from .caches import hold
 from .pieces import PieceIds
+from .store import parts_for
 
 SHARD_IDS = 1 << 20     # ids per shard; a longer document is a shard of its own
 FREQUENT = 1 / 20_000   # a pair is replaced if it takes at least this share of a shard's symbols
@@ -39,6 +43,11 @@ SCHEMA = ("part int, seq int, doc_ids array<bigint>, doc_ends array<bigint>, fir
           "lengths array<int>, width int, symbols binary")
 
 
+def _short(pairs: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)
+
+
 def repair(ids: np.ndarray, first_rule: int, frequent: float = FREQUENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules as pairs, expansion length of each rule)."""
     symbols = ids.astype(np.int64)
@@ -54,14 +63,20 @@ def repair(ids: np.ndarray, first_rule: int, frequent: float = FREQUENT) -> tupl
             break
         often = often[np.argsort(-times[often], kind="stable")[:PER_ROUND]]
         chosen = np.sort(ordered[at[often]])
-        place = np.searchsorted(chosen, pair)
+        # Most places drop out by a hash of 16 bits, before the search.
+        sieve = np.zeros(1 << 16, dtype=bool)
+        sieve[_short(chosen)] = True
+        hit = np.flatnonzero(sieve[_short(pair)])
+        place = np.searchsorted(chosen, pair[hit])
         place[place == len(chosen)] = 0
-        hit = np.flatnonzero(chosen[place] == pair)
+        same = chosen[place] == pair[hit]
+        hit, place = hit[same], place[same]
         # Pairs that overlap: every second one of a run is replaced.
         run = np.flatnonzero(np.concatenate([[True], np.diff(hit) > 1]))
         first = np.repeat(hit[run], np.diff(np.append(run, len(hit))))
-        hit = hit[(hit - first) % 2 == 0]
-        symbols[hit] = first_rule + count + place[hit]
+        second = (hit - first) % 2 == 0
+        hit = hit[second]
+        symbols[hit] = first_rule + count + place[second]
         symbols = np.delete(symbols, hit + 1)
         rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
         count += len(chosen)
@@ -99,19 +114,38 @@ def decode_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, fi
     return expand(symbols[low:high], rules, first_rule)[begin - before:end - before]
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[PieceIds, int]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of chunks: once per distinct pre-token, but texts that hold a special token's string are encoded as a whole."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
+        self.tokenizer = Tokenizer.from_file(path)
+        self.vocabulary = self.tokenizer.get_vocab_size()
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
+        self.pieces = PieceIds(self._encode)
 
-    def encode(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        got = tokenizer.encode([p.decode("utf-8") for p in parts], is_pretokenized=True, add_special_tokens=False)
+    def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.tokenizer.encode([p.decode("utf-8") for p in parts], is_pretokenized=True, add_special_tokens=False)
         return np.array(got.ids, dtype=np.int64), np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(parts))
 
-    return PieceIds(encode), tokenizer.get_vocab_size()
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a chunk, and the n + 1 offsets of the rows."""
+        ids, rows = self.pieces.ids(data, offsets)
+        at = np.array([m.start() for m in self.special.finditer(data.tobytes())] if self.special else [], dtype=np.int64)
+        if not len(at):
+            return ids, rows
+        whole = set((np.searchsorted(offsets, at, side="right") - 1).tolist())   # a match over two rows does no harm
+        parts = [np.array(self.tokenizer.encode(data[offsets[k]:offsets[k + 1]].tobytes().decode("utf-8"), add_special_tokens=False).ids, dtype="<u4")
+                 if k in whole else ids[rows[k]:rows[k + 1]] for k in range(len(rows) - 1)]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _shard(part: int, seq: int, docs: list[tuple[int | None, np.ndarray]], first_rule: int) -> pa.RecordBatch:
@@ -129,14 +163,14 @@ def _shard(part: int, seq: int, docs: list[tuple[int | None, np.ndarray]], first
 def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
     """Encodes (doc_id, text), appends `end_id` to each document and writes the shards to `path`."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, vocabulary = _tokenizer(tokenizer_path)
-        hold(f"ids {tokenizer_path}", pieces.clear)
-        first_rule = max(vocabulary, end_id + 1)
+        encoder = _encoder(tokenizer_path)
+        hold(f"ids {tokenizer_path}", lambda: (encoder.pieces.clear(), _encoder.cache_clear()))
+        first_rule = max(encoder.vocabulary, end_id + 1)
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             for row, end, data, offsets in bt.chunks(batch.column(1)):
-                ids, rows = pieces.ids(data, offsets)
+                ids, rows = encoder.ids(data, offsets)
                 for k in range(end - row):
                     if held and size + rows[k + 1] - rows[k] >= SHARD_IDS:
                         yield _shard(part, seq, held, first_rule)
@@ -146,10 +180,9 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> N
         if held:
             yield _shard(part, seq, held, first_rule)
 
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.make_valid_utf8("text").alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    ranged = rows.repartitionByRange(parts_for(docs), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     ranged.mapInArrow(encode, SCHEMA).write.parquet(path)
 
 

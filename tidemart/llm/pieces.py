@@ -13,7 +13,6 @@ from . import bytetext as bt
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 CACHED = 48 << 20   # bytes that a worker's memory of pieces may take; past that it starts anew
-ENTRY = 150         # bytes of one remembered piece besides its ids: two objects and a place in the table
 #: The suffixes that the public pattern splits off after an apostrophe.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -67,6 +66,43 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
 
 
+class Memo:
+    """Number arrays remembered by a 64-bit hash, as sorted keys and one pool: some twenty bytes a key besides the numbers."""
+
+    def __init__(self, limit: int = CACHED):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.pool = np.zeros(0, dtype="<u4")
+
+    def held(self) -> int:
+        return self.keys.nbytes + self.begin.nbytes + self.size.nbytes + self.pool.nbytes
+
+    def lookup(self, hashes: np.ndarray, compute: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool the numbers of each of these distinct hashes begin, and how many they are. `compute` gives
+        the numbers in a row, and their counts, for the places of those not known yet."""
+        if self.held() > self.limit:
+            self.clear()
+        order = np.argsort(hashes)
+        wanted = hashes[order]
+        at = np.searchsorted(self.keys, wanted)
+        new = np.ones(len(wanted), dtype=bool)
+        new[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] != wanted[at < len(self.keys)]
+        if new.any():
+            numbers, counts = compute(order[new])
+            begin = len(self.pool) + np.cumsum(counts) - counts
+            self.pool = np.concatenate([self.pool, numbers.astype("<u4")])
+            self.keys = np.insert(self.keys, at[new], wanted[new])
+            self.begin, self.size = np.insert(self.begin, at[new], begin), np.insert(self.size, at[new], counts)
+            at = np.searchsorted(self.keys, wanted)
+        begin, size = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
+        begin[order], size[order] = self.begin[at], self.size[at]
+        return begin, size
+
+
 class PieceIds:
     """Token ids of chunks, with `encode` called on distinct pieces only.
 
@@ -75,11 +111,10 @@ class PieceIds:
     """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], split: Callable = pretokens):
-        self.encode, self.split, self.known, self.held = encode, split, {}, 0
+        self.encode, self.split, self.memo = encode, split, Memo()
 
     def clear(self) -> None:
-        self.known.clear()
-        self.held = 0
+        self.memo.clear()
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a chunk, and the n + 1 offsets of the rows."""
@@ -89,26 +124,14 @@ class PieceIds:
         code, distinct = pd.factorize(bt.hashes(data, starts, ends))
         first = np.empty(len(distinct), dtype=np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-        keys = distinct.tolist()
-        if self.held > CACHED:
-            self.clear()
-        known = self.known
-        new = [k for k, h in enumerate(keys) if h not in known]
-        if new:
-            pieces = [data[s:e].tobytes() for s, e in zip(starts[first[new]], ends[first[new]], strict=True)]
-            ids, counts = self.encode(pieces)
-            ids, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-            self.held += len(ids) + ENTRY * len(new)
-            begin = 0
-            for k, stop in zip(new, stops, strict=True):
-                known[keys[k]] = ids[begin:stop]
-                begin = stop
-        parts = [known[h] for h in keys]
-        length = np.array([len(p) for p in parts], dtype=np.int64) >> 2
-        flat = np.frombuffer(b"".join(parts), dtype="<u4")
-        begin = np.concatenate([[0], np.cumsum(length)])[:-1]
-        per = length[code]
+        text = data.tobytes()
+
+        def compute(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return self.encode([text[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+
+        begin, size = self.memo.lookup(distinct, compute)
+        per = size[code]
         total = np.concatenate([[0], np.cumsum(per)])
         where = np.repeat(begin[code] - total[:-1], per)
         where += np.arange(total[-1])
-        return flat[where], total[rows]
+        return self.memo.pool[where], total[rows]
