@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as bt
-from .caches import hold
+from .caches import hold, release
 from .store import written
 
 TOXIC, CLEAN = 6000, 14000   # most labelled texts used
@@ -42,7 +42,8 @@ LETTERS = 16                 # a longer word is read in windows of so many lette
 SPAN = 5                     # letters from the first to the last of a subsequence
 DECAY = 0.6                  # discount per letter skipped
 CUT = 0.3                    # score from which a text counts as toxic
-CACHED = 300_000
+CACHED = 24 << 20   # bytes that each of a worker's two memories of words may take; past that it starts anew
+WORD = 190            # bytes of a remembered word besides its letters: two objects and a place in the table
 #: Digits and signs that stand for letters inside a word.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 
@@ -225,6 +226,7 @@ class _Folded:
 
     def __init__(self):
         self.known: dict[int, str] = {}
+        self.size = 0
         hold("folded words", self.known.clear)
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -233,13 +235,15 @@ class _Folded:
         place, distinct = pd.factorize(bt.hashes(data, starts, ends))
         first = np.empty(len(distinct), dtype=np.int64)
         first[place[::-1]] = np.arange(len(place))[::-1]
-        if len(self.known) > CACHED:
+        if self.size > CACHED:
             self.known.clear()
+            self.size = 0
         words = []
         for key, s, e in zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True):
             word = self.known.get(key)
             if word is None:
                 word = self.known[key] = fold(data[s:e].tobytes().decode("utf-8", "replace"))
+                self.size += WORD + len(word)
             words.append(word)
         row = bt.row_of(rows)
         single = np.array([len(w) == 1 for w in words], dtype=bool)[place] if len(words) else np.zeros(0, dtype=bool)
@@ -314,7 +318,7 @@ def margins(docs: DataFrame, machine: Machine, carry: list[str]) -> DataFrame:
         for batch in batches:
             for row, end, data, offsets in bt.chunks(batch.column(1)):
                 words, place, home = folded.words(data, offsets)
-                if len(known) > CACHED:
+                if WORD * len(known) > CACHED:   # its words are those of the other memory
                     known.clear()
                 new = list({w for w in words if w not in known})
                 known.update(zip(new, machine.words(new).tolist(), strict=True))
@@ -387,4 +391,6 @@ def _scaled(machine: Machine, margin: np.ndarray, toxic: np.ndarray) -> Machine:
 def scored(docs: DataFrame, labels: DataFrame, carry: list[str], held_out: int = 2, folds: int = 4) -> DataFrame:
     """`row`, score and worst word of each text; labels of the held-out fold of ids are not looked at."""
     fold_of = F.crc32(F.col("doc_id").cast("string")) % folds
-    return margins(docs, fit(docs, labels.where(fold_of != held_out)), carry)
+    machine = fit(docs, labels.where(fold_of != held_out))
+    release()   # the driver's memory of the fit
+    return margins(docs, machine, carry)
