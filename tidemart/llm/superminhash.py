@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytetext as bt
-from .caches import hold
+from .caches import hold, release
 from .components import components
 from .store import written
 
@@ -212,15 +212,17 @@ def _compared(groups: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, size: int = 5, percent: int = 85, digest: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows with their class, links between classes)."""
+    release()   # what the driver holds of jobs before
     rows = written(signed(docs, size, digest), "signed")
     each = rows.where("cls is not null").select("cls", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high")
     buckets = written(each.join(shared.select("key"), "key").distinct(), "buckets")
     members = buckets.groupBy("key").agg(F.count("*").alias("members"))
     popular = buckets.join(members, "key").groupBy("cls").agg(F.sum("members").alias("pop"))
-    known = rows.where("cls is not null").join(popular, "cls").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("sig").alias("sig"), F.max("pop").alias("pop"))
-    known = written(known, "known")
+    # Copies fold into one row a class before the shuffle, and only then meet the other classes.
+    classes = rows.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("sig").alias("sig"))
+    known = written(classes.join(popular, "cls").select("cls", "rep", "n", "sig", "pop"), "known")
     sets = written(_full_sets(docs, known.select("cls", "rep"), size), "sets")
     buckets = buckets.join(known.select("cls", "pop"), "cls").select("key", "cls", "pop")
     found = roots = None
