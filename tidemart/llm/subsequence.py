@@ -37,6 +37,7 @@ from .store import written
 TOXIC, CLEAN = 6000, 14000   # most labelled texts used
 NEGATIVES, CLOSE = 20_000, 4000  # random and closest words of clean texts
 LANDMARKS = 192
+ROWS = 2048      # words whose products with all landmarks are made at a time
 CANDIDATES = 3000            # words of toxic texts that may become positive
 LETTERS = 16                 # a longer word is read in windows of so many letters
 SPAN = 5                     # letters from the first to the last of a subsequence
@@ -105,6 +106,11 @@ def _norm(codes: np.ndarray) -> np.ndarray:
 
 def _dot(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Inner products of the words' normed features with one weight vector, or with several (columns)."""
+    if weights.ndim > 1 and len(codes) > ROWS:
+        out = np.empty((len(codes),) + weights.shape[1:])
+        for k in range(0, len(codes), ROWS):
+            out[k:k + ROWS] = _dot(codes[k:k + ROWS], weights)
+        return out
     out = np.zeros((len(codes),) + weights.shape[1:])
     for feature, weight in _features(codes):
         for k in range(feature.shape[1]):
@@ -120,7 +126,8 @@ def _dense(codes: np.ndarray) -> np.ndarray:
     for feature, weight in _features(codes):
         for k in range(feature.shape[1]):
             np.add.at(out, (feature[:, k], column), weight[:, k])
-    return out / _norm(codes)
+    out /= _norm(codes)
+    return out
 
 
 def kernel(a: str, b: str) -> float:
@@ -187,6 +194,7 @@ def fit_words(positive: dict[str, float], negative: list[str]) -> Machine:
     values, vectors = np.linalg.eigh(landmarks.T @ landmarks)
     good = values > 1e-6 * values.max()
     span = landmarks @ (vectors[:, good] / np.sqrt(values[good]))     # features -> Nyström coordinates
+    del landmarks, vectors
     words = own + negative
     codes, owner = _matrix(words)
     z = np.concatenate([_dot(codes, span), np.ones((len(codes), 1))], axis=1)
