@@ -49,3 +49,12 @@ def path_ends(steps: DataFrame) -> DataFrame:
     ends = steps.groupBy(*_PATH_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(page).alias("_a"), F.max(page).alias("_b"))
     return ends.select(*_PATH_KEYS, (F.col("_n") - 1).alias("path_length"), *[
         F.col(f"{side}.{c}").alias(f"{name}_{c}") for side, name in (("_a", "first"), ("_b", "last")) for c in ("page_id", "page_type")])
+
+
+def path_texts(steps: DataFrame, part_steps: int = 1024, arrow: str = "->") -> DataFrame:
+    """Paths as text, `a->b->c`, a page without id as `null`. A path of more than `part_steps` steps continues
+    in further parts, numbered from 0, so that no row grows with the path."""
+    part = F.floor((F.col("step") - 1) / part_steps).alias("part")
+    walked = steps.groupBy(*_PATH_KEYS, part).agg(F.array_sort(F.collect_list(F.struct("step", "page_id"))).alias("_steps"))
+    names = F.transform("_steps", lambda s: F.coalesce(s["page_id"].cast("string"), F.lit("null")))
+    return walked.select(*_PATH_KEYS, "part", F.array_join(names, arrow).alias("path"))

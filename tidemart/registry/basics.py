@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F, types as T
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F, types as T
 from ..bridge.sql import half_up, num
 from ..bridge.tables import LOG_DAY
 from ..functions import cleaning, keys, persona, ratios, timekeys
-from ..operators import joins, latest, lists, quality, ranking, recent, sets, shares
+from ..operators import joins, latest, lists, observed, quality, ranking, recent, sets, shares
 from ..plans import day_job, retail_daily, retail_facts
-from ..session import scratch_path
-from ..sources import files, tables
+from ..session import cut_lineage, scratch_path
+from ..sources import bucketed, files, switched, tables, ziptables
 from .base import query
 from .retail import L_DAY, T_DAY, _day, log_day, trade_day
 
@@ -268,6 +269,23 @@ def _(t):
     return quality.reconcile(views, retail_daily.session_daily(views), ["dt"])
 
 
+@query("quality_observed_layers", """SELECT 'events' layer, 'row_count' measure, count(*)::DOUBLE AS value FROM ev
+    UNION ALL SELECT 'events', 'user_id_nulls', count(*) FILTER (user_id IS NULL) FROM ev
+    UNION ALL SELECT 'events', 'user_id_min', min(user_id) FROM ev UNION ALL SELECT 'events', 'user_id_max', max(user_id) FROM ev
+    UNION ALL SELECT 'page_views', 'row_count', count(*) FROM page_view UNION ALL SELECT 'sessions', 'row_count', count(*) FROM session_1d""")
+def _(t):
+    """Three layers are written, each gated by the figures of the one below; every figure comes from a writing job."""
+    root = scratch_path(t.spark, "layers")
+    figures = {"events": observed.write_measured(t.events.withColumn("dt", F.to_date("ts")), f"{root}/events", measures={
+        **observed.nulls("user_id"), **observed.bounds("user_id")})}
+    observed.require_written(figures["events"], "events")
+    figures["page_views"] = observed.write_measured(retail_facts.page_view_fact(t.raw_log), f"{root}/page_views")
+    observed.require_written(figures["page_views"], "page views")
+    views = t.spark.read.parquet(f"{root}/page_views")
+    figures["sessions"] = observed.write_measured(retail_daily.session_daily(views), f"{root}/sessions")
+    return observed.as_rows(t.spark, figures)
+
+
 # ---- files and tables ------------------------------------------------------------------------
 
 @query("table_tsv_round_trip", f"SELECT event_id, user_id, event_type, strftime(ts,'%Y%m%d') dt FROM ev")
@@ -356,3 +374,55 @@ def _(t):
     rows = t.events.select(F.concat(F.lit("V"), "user_id").alias("vehicleno"), F.to_date("ts").alias("ds"))
     tables.write_distributed(rows, path, "ds", "vehicleno")
     return t.spark.read.parquet(path).groupBy("vehicleno", "ds").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("table_report_switch", f"""SELECT {_day('ts::DATE', 'dt')}, user_id, count(*) n, CASE WHEN ts::DATE={L_DAY} THEN 1 ELSE 0 END::BIGINT rewritten FROM ev GROUP BY ts::DATE, user_id""")
+def _(t):
+    """A report of all days, then its last day reported again, twice; a reader sees each load whole."""
+    daily = t.events.groupBy(F.to_date("ts").alias("dt"), "user_id").agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("rewritten"))
+    report = switched.SwitchedTable(t.spark, scratch_path(t.spark, "report"), daily.schema)
+    report.replace(daily)
+    for _ in range(2):
+        report.replace(daily.filter(F.col("dt") == log_day()).withColumn("rewritten", F.lit(1)), [LOG_DAY])
+    report.vacuum(keep=1)
+    return report.read()
+
+
+@query("table_zip_by_end_date", """WITH y AS (SELECT o_custkey, year(ordered) yr, o_orderpriority lvl FROM heads
+        QUALIFY row_number() OVER (PARTITION BY o_custkey, year(ordered) ORDER BY ordered DESC, o_orderkey DESC)=1),
+    s AS (SELECT o_custkey, lvl, make_date(yr,12,31) d FROM (SELECT *, lag(lvl) OVER (PARTITION BY o_custkey ORDER BY yr) was FROM y) WHERE was IS DISTINCT FROM lvl)
+    SELECT o_custkey user_id, lvl user_level, strftime(d,'%Y-%m-%d') start_date,
+        strftime(coalesce(lead(d) OVER (PARTITION BY o_custkey ORDER BY d) - 1, DATE '9999-12-31'),'%Y-%m-%d') end_date FROM s""")
+def _(t):
+    """Customer levels, loaded at the end of each year from the customers who ordered in it; the last load runs twice."""
+    last = cut_lineage(t.heads.groupBy(F.col("o_custkey").alias("user_id"), F.year("ordered").alias("yr")).agg(
+        F.max_by("o_orderpriority", F.struct("ordered", "o_orderkey")).alias("user_level")))
+    years = [row.yr for row in last.select("yr").distinct().orderBy("yr").collect()]
+    levels = last.select("user_id", "user_level")
+    history = ziptables.ZipTable(t.spark, scratch_path(t.spark, "levels"), levels.schema, ["user_id"])
+    for year in [*years, *years[-1:]]:
+        history.load(last.filter(F.col("yr") == year).select("user_id", "user_level"), date(year, 12, 31))
+    return history.read()
+
+
+@query("table_bucketed_join", "SELECT o_orderkey, o_orderpriority, count(*) n, sum(qty)::BIGINT qty FROM heads JOIN lines ON l_orderkey=o_orderkey GROUP BY ALL")
+def _(t):
+    """Orders and their lines stored in the same buckets; the join and the sum need no shuffle."""
+    lines, tag = t.lines.select("l_orderkey", "qty"), uuid.uuid4().hex
+    buckets = bucketed.buckets_for(lines, least=4)
+    stored = bucketed.write_bucketed(lines, f"lines_{tag}", ["l_orderkey"], buckets, scratch_path(t.spark, "lines"))
+    heads = bucketed.write_bucketed(t.heads.select("o_orderkey", "o_orderpriority"), f"heads_{tag}", ["o_orderkey"], buckets,
+                                    scratch_path(t.spark, "heads"))
+    return stored.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"))
+
+
+@query("table_recovered_days", f"SELECT {_day('ts::DATE', 'dt')}, event_type, count(*) n FROM ev GROUP BY ts::DATE, event_type")
+def _(t):
+    """Days written straight to the files of a catalog table, then made visible in it."""
+    table, path = f"events_{uuid.uuid4().hex}", scratch_path(t.spark, "events")
+    rows = t.events.select("event_id", "event_type", F.to_date("ts").alias("dt"))
+    tables.create_day_table(t.spark, table, path, rows)
+    tables.overwrite_days(rows, path)
+    tables.recover_partitions(t.spark, table)
+    return t.spark.table(table).groupBy("dt", "event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -339,6 +339,13 @@ def _register_entry(term: str) -> None:
     def _(t):
         return paths.path_ends(paths.path_steps(paths.page_visits(entry.path_fact(t.path_log, term), F.col("jump_date"))))
 
+    @query(f"visitor_path_text_{term}", f"""SELECT visitor_id, {_day('visit_date')}, (n-1)//8 part, string_agg(coalesce(page_id::VARCHAR,'null'), '->' ORDER BY n) path
+        FROM (SELECT *, row_number() OVER (PARTITION BY visitor_id, visit_date ORDER BY visit_time, visit_sequence, page_id, page_type) n FROM pv_{term})
+        GROUP BY visitor_id, visit_date, (n-1)//8""")
+    def _(t):
+        visits = paths.page_visits(entry.path_fact(t.path_log, term), F.col("jump_date"))
+        return paths.path_texts(paths.path_steps(visits), part_steps=8)
+
     @query(f"path_report_{term}", f"""SELECT source_page_type, target_page_type, {_day('jump_date', 'stat_date')}, n jump_count,
         {half_up('n', 'sum(n) OVER (PARTITION BY source_page_type, jump_date)', 4)} jump_rate,
         row_number() OVER (PARTITION BY jump_date ORDER BY n DESC, source_page_type, target_page_type) path_rank

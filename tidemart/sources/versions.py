@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 VERSION = "version"
@@ -21,7 +22,8 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str):
         self.path = path.rstrip("/")
-        self._jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark.sparkContext._jvm
+        self._jvm_path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._jvm_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def names(self, below: str = "") -> list[str]:
@@ -37,6 +39,31 @@ class Folder:
     def drop(self, name: str) -> None:
         self._fs.delete(self._jvm_path(f"{self.path}/{name}"), True)
 
+    def read(self, name: str) -> str:
+        """Text of a small file."""
+        stream = self._fs.open(self._jvm_path(f"{self.path}/{name}"))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_new(self, name: str, text: str) -> bool:
+        """Write a small file unless there is one of that name; says whether it did."""
+        target = self._jvm_path(f"{self.path}/{name}")
+        if self._fs.exists(target):
+            return False
+        try:
+            stream = self._fs.create(target, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+        return True
+
     def rename(self, old: str, new: str) -> bool:
         return self._fs.rename(self._jvm_path(f"{self.path}/{old}"), self._jvm_path(f"{self.path}/{new}"))
 
