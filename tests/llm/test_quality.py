@@ -158,11 +158,25 @@ def test_folded_weights_equal_the_kernel():
     words = sorted({"".join(random.choices("abcdeo", k=random.randint(3, 10))) for _ in range(40)})
     codes, owner = subsequence._matrix(words)
     assert len(owner) == len(words)
-    dense = subsequence._dense(codes)
-    for i in range(0, 40, 7):
-        for j in range(0, len(words), 5):
-            assert float(dense[:, i] @ dense[:, j]) == pytest.approx(subsequence.kernel(words[i], words[j]))
-        assert subsequence._dot(codes[i:i + 1], dense)[0] == pytest.approx([subsequence.kernel(words[i], w) for w in words])
+    marks = subsequence._Marks(codes)
+    for i in range(0, len(words), 7):
+        wanted = [subsequence.kernel(words[i], w) for w in words]
+        assert marks.columns[:, i] @ marks.columns == pytest.approx(wanted)
+        assert marks.dot(codes[i:i + 1], marks.columns)[0] == pytest.approx(wanted)
+        assert subsequence._dot(codes, marks.spread(marks.columns[:, i])) == pytest.approx(wanted)
+
+
+def test_kernel_is_normed_and_tells_letters_of_other_alphabets_apart():
+    kernel = subsequence.kernel
+    for word in ("idiot", "idioot", "aaaaaaa", "achlichlich", "идиот", "ηλίθιος", "a", ""):
+        assert kernel(subsequence.fold(word), subsequence.fold(word)) == pytest.approx(1 if word else kernel("", ""))
+    random.seed(6)
+    for alphabet in ("абвгдежзиклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyz"):
+        assert len({subsequence._code(c) for c in alphabet}) == len(alphabet)
+        words = ["".join(random.sample(alphabet, 7)) for _ in range(60)]
+        assert all(kernel(a, b) <= 1 + 1e-9 for a in words for b in words)
+        assert sum(kernel(a, b) for a, b in zip(words, words[1:])) / 59 < 0.05
+        assert all(kernel(w, w[:3] + w[2] + w[3:]) > 0.5 for w in words)
 
 
 def test_fold():
@@ -173,7 +187,8 @@ def test_fold():
 def _labelled(spark):
     random.seed(4)
     plain = "the river runs under a bridge near old houses while children play games in green gardens and birds sing songs".split()
-    rude = ["grumbok", "snorfle", "blethin"]
+    rude = ["grumbok", "snorfle", "blethin", "придурошный", "παλιάνθρωπος"]
+    plain += "река течёт под старым мостом дети играют возле дома ποτάμι γέφυρα παιδιά παίζουν κοντά σπίτι".split()
     rows = []
     for k in range(400):
         text = random.choices(plain, k=40)
@@ -191,7 +206,8 @@ def test_toxicity_of_held_out_and_altered_words(spark, edge_docs, no_docs):
     assert len(rows) == 400 and not wrong
     machine = subsequence.fit(docs, labels)
     text = " ".join(plain)
-    odd = ["grummbok", "gr.um.bok", "snor-fle", "b l e t h i n", "BLETHIN!", "grumbokish", "snorffle"]
+    odd = ["grummbok", "gr.um.bok", "snor-fle", "b l e t h i n", "BLETHIN!", "grumbokish", "snorffle", "придуррошный", "при.дурош.ный",
+           "ПРИДУРОШНЫЙ", "παλιιάνθρωπος", "Παλιάνθρωποςς"]
     made = spark.createDataFrame([(k, f"{text} {w} {text}") for k, w in enumerate(odd)] + [(99, text), (98, text * 30)], "doc_id long, text string")
     got = {r.doc_id: r.score for r in subsequence.margins(made, machine, ["doc_id"]).select("row.doc_id", "score").collect()}
     assert all(got[k] >= 0.3 for k in range(len(odd))), got

@@ -10,7 +10,8 @@ A text is a bag of sentences, a sentence a bag of words, and only texts have lab
 explain labelled toxic texts, each new one texts that those before don't explain, are positive;
 words of clean texts are negative, and after a first fit those that come closest to the positive
 side. A text scores as its worst word. Words are folded first: accents and signs go, digits that
-look like letters become them, and single letters in a row are joined.
+look like letters become them, and single letters in a row are joined. Letters outside a-z have
+codes by code point: those of one alphabet mostly differ, those of different ones may share a code.
 
 The machine is fitted on at most TOXIC + CLEAN labelled texts, picked by a hash of their ids.
 Rows: NULL or empty text scores as a text without words. Repeated rows and equal ids keep one
@@ -36,8 +37,8 @@ from .store import written
 
 TOXIC, CLEAN = 6000, 14000   # most labelled texts used
 NEGATIVES, CLOSE = 20_000, 4000  # random and closest words of clean texts
-LANDMARKS = 192
-ROWS = 2048      # words whose products with all landmarks are made at a time
+LANDMARKS = 256
+ROWS = 2048      # windows whose features are made at a time
 CANDIDATES = 3000            # words of toxic texts that may become positive
 LETTERS = 16                 # a longer word is read in windows of so many letters
 SPAN = 5                     # letters from the first to the last of a subsequence
@@ -49,7 +50,8 @@ WORD = 190            # bytes of a remembered word besides its letters: two obje
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 
 _BEGIN, _END = 27, 28
-_SIZE = 32
+_SIZE = 64
+_OTHERS = _SIZE - _END - 1   # codes of letters outside a-z, dealt out by code point: an alphabet's letters in a row differ
 _STEPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
 
 
@@ -66,7 +68,7 @@ def fold(word: str) -> str:
 
 def _code(letter: str) -> int:
     point = ord(letter)
-    return point - 96 if 97 <= point <= 122 else 29 + point % 3
+    return point - 96 if 97 <= point <= 122 else _END + 1 + point % _OTHERS
 
 
 def windows(word: str) -> list[list[int]]:
@@ -97,50 +99,76 @@ def _features(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _norm(codes: np.ndarray) -> np.ndarray:
-    """Length of the feature vector if no subsequence came twice: depends on the word's length only."""
-    total = np.zeros(len(codes))
-    for _, weight in _features(codes):
-        total += (weight ** 2).sum(axis=1)
+    """Length of the feature vector of each window; weights of a subsequence that comes twice add up first."""
+    parts = list(_features(codes))
+    feature = np.concatenate([f for f, _ in parts], axis=1)
+    weight = np.concatenate([w for _, w in parts], axis=1)
+    order = np.argsort(feature, axis=1)
+    feature, weight = np.take_along_axis(feature, order, axis=1), np.take_along_axis(weight, order, axis=1)
+    new = np.ones(feature.shape, dtype=bool)
+    new[:, 1:] = feature[:, 1:] != feature[:, :-1]
+    start = np.flatnonzero(new)
+    square = np.add.reduceat(weight.ravel(), start) ** 2 if len(start) else np.zeros(0)
+    total = np.bincount(start // feature.shape[1], weights=square, minlength=len(codes))
     return np.sqrt(np.maximum(total, 1e-9))
 
 
+def _blocks(codes: np.ndarray) -> Iterator[slice]:
+    return (slice(k, k + ROWS) for k in range(0, len(codes), ROWS))
+
+
 def _dot(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Inner products of the words' normed features with one weight vector, or with several (columns)."""
-    if weights.ndim > 1 and len(codes) > ROWS:
-        out = np.empty((len(codes),) + weights.shape[1:])
-        for k in range(0, len(codes), ROWS):
-            out[k:k + ROWS] = _dot(codes[k:k + ROWS], weights)
-        return out
-    out = np.zeros((len(codes),) + weights.shape[1:])
-    for feature, weight in _features(codes):
-        for k in range(feature.shape[1]):
-            part = weights[feature[:, k]]
-            out += part * (weight[:, k] if weights.ndim == 1 else weight[:, k:k + 1])
-    return out / (_norm(codes) if weights.ndim == 1 else _norm(codes)[:, None])
-
-
-def _dense(codes: np.ndarray) -> np.ndarray:
-    """Normed features as one column per word."""
-    out = np.zeros((_SIZE ** 3, len(codes)))
-    column = np.arange(len(codes))
-    for feature, weight in _features(codes):
-        for k in range(feature.shape[1]):
-            np.add.at(out, (feature[:, k], column), weight[:, k])
-    out /= _norm(codes)
+    """Inner products of the windows' normed features with one weight per feature."""
+    out = np.zeros(len(codes))
+    for at in _blocks(codes):
+        for feature, weight in _features(codes[at]):
+            out[at] += (weights[feature] * weight).sum(axis=1)
+        out[at] /= _norm(codes[at])
     return out
 
 
+class _Marks:
+    """Normed features of landmark windows, one column each; only features that a landmark has are rows."""
+
+    def __init__(self, codes: np.ndarray):
+        parts = list(_features(codes))
+        self.known = np.unique(np.concatenate([f[w > 0] for f, w in parts]))
+        self.row = np.full(_SIZE ** 3, len(self.known), dtype=np.int32)   # the row after the last is empty
+        self.row[self.known] = np.arange(len(self.known))
+        self.columns = np.zeros((len(self.known) + 1, len(codes)))
+        column = np.broadcast_to(np.arange(len(codes))[:, None], codes.shape)
+        for feature, weight in parts:
+            there = weight > 0
+            np.add.at(self.columns, (self.row[feature[there]], column[:, :feature.shape[1]][there]), weight[there])
+        self.columns /= _norm(codes)
+
+    def dot(self, codes: np.ndarray, span: np.ndarray) -> np.ndarray:
+        """Inner products of windows with each column of `span`, whose rows are those of the landmarks."""
+        out = np.zeros((len(codes), span.shape[1]))
+        for at in _blocks(codes):
+            for feature, weight in _features(codes[at]):
+                for k in range(feature.shape[1]):
+                    out[at] += span[self.row[feature[:, k]]] * weight[:, k:k + 1]
+            out[at] /= _norm(codes[at])[:, None]
+        return out
+
+    def spread(self, weights: np.ndarray) -> np.ndarray:
+        """Weights of the landmarks' features as weights of all features."""
+        out = np.zeros(_SIZE ** 3)
+        out[self.known] = weights[:-1]
+        return out
+
+
 def kernel(a: str, b: str) -> float:
     """The kernel of two short folded words, straight from its definition."""
     def counts(word: str) -> tuple[dict, float]:
-        codes, out, square = windows(word)[0], {}, 0.0
+        codes, out = windows(word)[0], {}
         for i in range(len(codes)):
             for x, y, weight in _STEPS:
                 if i + y < len(codes):
                     key = (codes[i], codes[i + x], codes[i + y])
                     out[key] = out.get(key, 0.0) + weight
-                    square += weight ** 2
-        return out, max(square, 1e-9) ** 0.5
+        return out, max(sum(w * w for w in out.values()), 1e-9) ** 0.5
 
     (left, n), (right, m) = counts(a), counts(b)
     return sum(w * right.get(k, 0.0) for k, w in left.items()) / (n * m)
@@ -184,27 +212,31 @@ def _svm(z: np.ndarray, sign: np.ndarray, weight: np.ndarray, c: float = 10.0, r
     return w
 
 
-def fit_words(positive: dict[str, float], negative: list[str]) -> Machine:
-    """A machine that tells weighted positive words from negative ones."""
+def fit_words(positive: dict[str, float], negative: list[str], close: list[str] | None = None) -> Machine:
+    """A machine that tells weighted positive words from negative ones.
+
+    Landmarks are the positive words, then those of `close`, the negative words nearest to the positive
+    side so far, and as many others.
+    """
     own = sorted(positive, key=lambda w: (-positive[w], w))
-    by_hash = sorted(negative, key=lambda w: hashlib.sha1(w.encode()).digest())
     marks = own[:LANDMARKS * 2 // 3]
-    marks += by_hash[:LANDMARKS - len(marks)]
-    landmarks = _dense(_matrix(marks)[0])
-    values, vectors = np.linalg.eigh(landmarks.T @ landmarks)
+    marks += (close or [])[:(LANDMARKS - len(marks)) // 2]
+    others = sorted(set(negative).difference(marks), key=lambda w: hashlib.sha1(w.encode()).digest())
+    marks += others[:LANDMARKS - len(marks)]
+    landmarks = _Marks(_matrix(marks)[0])
+    values, vectors = np.linalg.eigh(landmarks.columns.T @ landmarks.columns)
     good = values > 1e-6 * values.max()
-    span = landmarks @ (vectors[:, good] / np.sqrt(values[good]))     # features -> Nyström coordinates
-    del landmarks, vectors
+    span = landmarks.columns @ (vectors[:, good] / np.sqrt(values[good]))     # features -> Nyström coordinates
     words = own + negative
     codes, owner = _matrix(words)
-    z = np.concatenate([_dot(codes, span), np.ones((len(codes), 1))], axis=1)
+    z = np.concatenate([landmarks.dot(codes, span), np.ones((len(codes), 1))], axis=1)
     sign = np.where(owner < len(own), 1.0, -1.0)
     weight = np.array([positive[w] for w in own] + [1.0] * len(negative))[owner]
     for side in (1.0, -1.0):
         weight[sign == side] /= weight[sign == side].sum()
     w = _svm(z, sign, weight * 1000)
     # The bias joins the weights as a constant of the score; it doesn't change which word is worst.
-    return Machine(span @ w[:-1], 1.0, float(w[-1]))
+    return Machine(landmarks.spread(span @ w[:-1]), 1.0, float(w[-1]))
 
 
 def chosen(texts: list[set[str]], odds: dict[str, float], least: int) -> dict[str, float]:
@@ -370,8 +402,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     negative = [r.word for r in plain.orderBy(F.xxhash64("word"), "word").limit(NEGATIVES).collect()]
     machine = fit_words(positive, negative)
     for _ in range(2):
-        negative = list(dict.fromkeys(negative + _closest(plain.where("clean > 0"), machine, CLOSE)))
-        machine = fit_words(positive, negative)
+        close = _closest(plain.where("clean > 0"), machine, CLOSE)
+        negative = list(dict.fromkeys(negative + close))
+        machine = fit_words(positive, negative, close)
     rows = margins(texts, machine, ["toxic"]).select("row.toxic", "margin").collect()
     return _scaled(machine, np.array([r.margin for r in rows]), np.array([float(r.toxic) for r in rows]))
 
