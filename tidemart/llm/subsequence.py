@@ -53,6 +53,8 @@ _BEGIN, _END = 27, 28
 _SIZE = 64
 _OTHERS = _SIZE - _END - 1   # codes of letters outside a-z, dealt out by code point: an alphabet's letters in a row differ
 _STEPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
+_WEIGHTS = np.array([0.0] + [DECAY ** (b - 2) for b in range(2, SPAN)])   # by the step to the last letter; none first
+_BITS = (len(_WEIGHTS) - 1).bit_length()
 
 
 def fold(word: str) -> str:
@@ -87,30 +89,27 @@ def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             parts.append(bytes(codes))
             owner.append(k)
     out = np.frombuffer(b"".join(p.ljust(LETTERS + 2, b"\0") for p in parts), dtype=np.uint8)
-    return out.reshape(len(parts), LETTERS + 2).astype(np.int64), np.array(owner, dtype=np.int64)
+    return out.reshape(len(parts), LETTERS + 2).astype(np.int32), np.array(owner, dtype=np.int64)
 
 
-def _features(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(feature of each place, its weight) for each pattern of gaps."""
+def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each window in rising order, their weights, and the length of the window's feature vector.
+
+    Weights of a feature that comes twice add up for the length. Places after the end weigh nothing.
+    """
     width = codes.shape[1]
-    for a, b, weight in _STEPS:
+    keys = []
+    for a, b, _ in _STEPS:
         x, y, z = codes[:, :width - b], codes[:, a:width - b + a], codes[:, b:]
-        yield (x * _SIZE + y) * _SIZE + z, weight * (z > 0)
-
-
-def _norm(codes: np.ndarray) -> np.ndarray:
-    """Length of the feature vector of each window; weights of a subsequence that comes twice add up first."""
-    parts = list(_features(codes))
-    feature = np.concatenate([f for f, _ in parts], axis=1)
-    weight = np.concatenate([w for _, w in parts], axis=1)
-    order = np.argsort(feature, axis=1)
-    feature, weight = np.take_along_axis(feature, order, axis=1), np.take_along_axis(weight, order, axis=1)
+        keys.append((((x * _SIZE + y) * _SIZE + z) << _BITS) + (z > 0) * np.int32(b - 1))
+    key = np.sort(np.concatenate(keys, axis=1), axis=1)
+    feature, weight = key >> _BITS, _WEIGHTS[key & ((1 << _BITS) - 1)]
     new = np.ones(feature.shape, dtype=bool)
     new[:, 1:] = feature[:, 1:] != feature[:, :-1]
     start = np.flatnonzero(new)
     square = np.add.reduceat(weight.ravel(), start) ** 2 if len(start) else np.zeros(0)
     total = np.bincount(start // feature.shape[1], weights=square, minlength=len(codes))
-    return np.sqrt(np.maximum(total, 1e-9))
+    return feature, weight, np.sqrt(np.maximum(total, 1e-9))
 
 
 def _blocks(codes: np.ndarray) -> Iterator[slice]:
@@ -121,9 +120,8 @@ def _dot(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Inner products of the windows' normed features with one weight per feature."""
     out = np.zeros(len(codes))
     for at in _blocks(codes):
-        for feature, weight in _features(codes[at]):
-            out[at] += (weights[feature] * weight).sum(axis=1)
-        out[at] /= _norm(codes[at])
+        feature, weight, norm = _features(codes[at])
+        out[at] = np.einsum("ij,ij->i", weights[feature], weight) / norm
     return out
 
 
@@ -131,25 +129,23 @@ class _Marks:
     """Normed features of landmark windows, one column each; only features that a landmark has are rows."""
 
     def __init__(self, codes: np.ndarray):
-        parts = list(_features(codes))
-        self.known = np.unique(np.concatenate([f[w > 0] for f, w in parts]))
+        feature, weight, norm = _features(codes)
+        there = weight > 0
+        self.known = np.unique(feature[there])
         self.row = np.full(_SIZE ** 3, len(self.known), dtype=np.int32)   # the row after the last is empty
         self.row[self.known] = np.arange(len(self.known))
         self.columns = np.zeros((len(self.known) + 1, len(codes)))
-        column = np.broadcast_to(np.arange(len(codes))[:, None], codes.shape)
-        for feature, weight in parts:
-            there = weight > 0
-            np.add.at(self.columns, (self.row[feature[there]], column[:, :feature.shape[1]][there]), weight[there])
-        self.columns /= _norm(codes)
+        np.add.at(self.columns, (self.row[feature[there]], np.nonzero(there)[0]), weight[there])
+        self.columns /= norm
 
     def dot(self, codes: np.ndarray, span: np.ndarray) -> np.ndarray:
         """Inner products of windows with each column of `span`, whose rows are those of the landmarks."""
         out = np.zeros((len(codes), span.shape[1]))
         for at in _blocks(codes):
-            for feature, weight in _features(codes[at]):
-                for k in range(feature.shape[1]):
-                    out[at] += span[self.row[feature[:, k]]] * weight[:, k:k + 1]
-            out[at] /= _norm(codes[at])[:, None]
+            feature, weight, norm = _features(codes[at])
+            for k in range(feature.shape[1]):
+                out[at] += span[self.row[feature[:, k]]] * weight[:, k:k + 1]
+            out[at] /= norm[:, None]
         return out
 
     def spread(self, weights: np.ndarray) -> np.ndarray:
