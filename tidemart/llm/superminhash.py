@@ -14,6 +14,10 @@ of their own; with more than DIRECT members it is split by the rarest elements o
 Stars of up to DIRECT members are finished in one task instead of being split.
 Rounds end when no bucket is open.
 
+Disk and network: bands of one class, texts no one else is like, and rows that surely stay are kept
+out of the shuffles by Bloom filters (sieve.py), with the exact join behind them. Texts travel
+instead of their sets, which are larger; a pair's sets are made where its texts meet.
+
 Rows: NULL, empty or blank text has an empty set and links with nothing. Repeated rows and
 equal doc_ids keep one row each. A NULL doc_id stays NULL; a group's id is the smallest doc_id
 that is not NULL. Further columns of the input are not looked at.
@@ -22,6 +26,7 @@ that is not NULL. Further columns of the input are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import bytetext as bt
 from .caches import hold, release
 from .components import components
+from .sieve import code, may_know, maybe, sieve
 from .store import written
 
 PLACES = 80          # signature length
@@ -42,7 +48,7 @@ _COLUMNS = 2048
 _FRACTION = 24       # bits of a draw's random fraction
 _STEP = np.uint64(0xD1342543DE82EF95)
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()),
-                    ("sig", pa.list_(pa.int32())), ("bands", pa.list_(pa.int64()))])
+                    ("sig", pa.list_(pa.int32()))])
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,13 +98,8 @@ def signatures(elements: np.ndarray, rows: np.ndarray, places: int = PLACES) ->
     return out
 
 
-def band_keys(signature: np.ndarray, band: int = BAND) -> np.ndarray:
-    grouped = signature.reshape(len(signature), -1, band).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, grouped.shape[1] + 1, dtype=np.uint64), grouped.shape[:2])
-    with np.errstate(over="ignore"):
-        for k in range(band):
-            key = bt.mix(key * _STEP + grouped[:, :, k])
-    return key.view(np.int64)
+def band_keys(signature: Column, places: int = PLACES, band: int = BAND) -> Column:
+    return F.array(*[F.xxhash64(F.lit(low), *[F.get(signature, F.lit(low + k)) for k in range(band)]) for low in range(0, places, band)])
 
 
 def set_digest(elements: np.ndarray, rows: np.ndarray) -> list[bytes | None]:
@@ -114,7 +115,7 @@ def _lists(values: np.ndarray, rows: np.ndarray) -> pa.Array:
 
 
 def signed(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
-    """doc_id, set size, class digest, signature and band keys of each row; with `digest` its text's as `text_key`."""
+    """doc_id, set size, class digest and signature of each row; with `digest` its text's as `text_key`."""
     extra = [F.md5("text").alias("text_key")] if digest else []
     schema = pa.schema([*SIGNED, *[pa.field("text_key", pa.string())] * digest])
 
@@ -125,34 +126,68 @@ def signed(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
                 sets, rows = shingle_sets(data, offsets, size)
                 signature = signatures(sets, rows)
                 full = np.flatnonzero(np.diff(rows))
-                n, keys = end - row, band_keys(signature)
+                n = end - row
                 per = np.zeros(n + 1, dtype=np.int64)
                 per[full + 1] = 1
                 per = np.cumsum(per)
                 yield pa.record_batch([
                     batch.column(0).slice(row, n), pa.array(np.diff(rows)), pa.array(set_digest(sets, rows), pa.binary()),
                     _lists(signature[full].reshape(-1), per * PLACES),
-                    _lists(keys[full].reshape(-1), per * keys.shape[1]),
                     *[c.slice(row, n) for c in batch.columns[2:]]], schema=schema)
 
     return docs.select(F.col("doc_id").cast("bigint"), "text", *extra).mapInArrow(
-        sign, "doc_id bigint, n_shingles bigint, cls binary, sig array<int>, bands array<bigint>" + ", text_key string" * digest)
+        sign, "doc_id bigint, n_shingles bigint, cls binary, sig array<int>" + ", text_key string" * digest)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """cls and the text of its first document, for the classes wanted (cls, rep); a text is shorter than its set.
+
+    Texts stay where they are read: a filter of the first documents' ids passes few others, and these
+    fall out where the texts meet the classes.
+    """
+    ids = sieve(wanted, "rep")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).filter(pa.array(may_know(ids, batch.column(0).to_numpy(zero_copy_only=False))))
+            for row, end, data, offsets in bt.chunks(texts):
+                yield pa.record_batch([pa.array(set_digest(*shingle_sets(data, offsets, size)), pa.binary()), texts.slice(row, end - row)],
+                                      names=["cls", "text"])
 
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").select(code("doc_id"), "text")
+    made = texts.mapInArrow(named, "cls binary, text string").join(wanted.select("cls"), "cls", "left_semi")
+    return made.groupBy("cls").agg(F.first("text").alias("text"))
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """cls and its whole set, for the classes wanted (cls, rep): made again from the class's first document."""
+
+def _full_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """cls and its whole set, for the classes of a written table."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in bt.chunks(batch.column(0)):
+            for row, end, data, offsets in bt.chunks(batch.column(1)):
                 sets, rows = shingle_sets(data, offsets, size)
-                yield pa.record_batch([pa.array(set_digest(sets, rows), pa.binary()), _lists(sets.view(np.int64), rows)],
-                                      names=["cls", "items"])
+                yield pa.record_batch([batch.column(0).slice(row, end - row), _lists(sets.view(np.int64), rows)], names=["cls", "items"])
+
+    return texts.where(maybe(sieve(wanted, "cls"), "cls")).select("cls", "text").mapInArrow(make, "cls binary, items array<bigint>")
+
+
+def _differences(pairs: DataFrame, size: int) -> DataFrame:
+    """Elements that the text `own` has beyond `heart` (`added`) and the other way (`gone`), next to the pairs' other columns."""
+    kept = [c for c in pairs.columns if c not in ("own", "heart")]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in bt.chunks(batch.column("own")):
+                part = batch.slice(row, end - row)
+                a, a_rows = shingle_sets(data, offsets, size)
+                b, b_rows = shingle_sets(*bt.flat(part.column("heart")), size)
+                both = [(a[a_rows[k]:a_rows[k + 1]], b[b_rows[k]:b_rows[k + 1]]) for k in range(end - row)]
+                lists = []
+                for found in ([np.setdiff1d(x, y, assume_unique=True) for x, y in both], [np.setdiff1d(y, x, assume_unique=True) for x, y in both]):
+                    lists.append(_lists(np.concatenate(found).view(np.int64), np.cumsum([0, *map(len, found)])))
+                yield pa.record_batch([*[part.column(c) for c in kept], *lists], names=[*kept, "added", "gone"])
 
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    texts = texts.join(ids, texts.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text")
-    made = texts.mapInArrow(make, "cls binary, items array<bigint>").join(wanted.select("cls"), "cls", "left_semi")
-    return made.groupBy("cls").agg(F.first("items").alias("items"))
+    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in kept)
+    return pairs.select(*kept, "own", "heart").mapInArrow(compare, f"{schema}, added array<bigint>, gone array<bigint>")
 
 
 def _agreement(a: Column, b: Column) -> Column:
@@ -214,16 +249,18 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85, digest: bool = Fals
     """(rows with their class, links between classes)."""
     release()   # what the driver holds of jobs before
     rows = written(signed(docs, size, digest), "signed")
-    each = rows.where("cls is not null").select("cls", F.explode("bands").alias("key"))
-    shared = each.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high")
-    buckets = written(each.join(shared.select("key"), "key").distinct(), "buckets")
+    each = rows.where("cls is not null").select("cls", F.explode(band_keys(F.col("sig"))).alias("key"))
+    # Most bands are one class's own. 64 bits tell a band's classes apart, and only rows of shared bands are dealt out.
+    shared = each.groupBy("key").agg(F.min(code("cls")).alias("low"), F.max(code("cls")).alias("high")).where("low < high")
+    shared = written(shared.select("key"), "shared")
+    buckets = written(each.where(maybe(sieve(shared, "key"), "key")).distinct().join(shared, "key"), "buckets")
     members = buckets.groupBy("key").agg(F.count("*").alias("members"))
-    popular = buckets.join(members, "key").groupBy("cls").agg(F.sum("members").alias("pop"))
+    popular = written(buckets.join(members, "key").groupBy("cls").agg(F.sum("members").alias("pop")), "popular")
     # Copies fold into one row a class before the shuffle, and only then meet the other classes.
-    classes = rows.where("cls is not null").groupBy("cls").agg(
+    classes = rows.where("cls is not null").where(maybe(sieve(popular, "cls"), "cls")).groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("sig").alias("sig"))
     known = written(classes.join(popular, "cls").select("cls", "rep", "n", "sig", "pop"), "known")
-    sets = written(_full_sets(docs, known.select("cls", "rep"), size), "sets")
+    texts = written(_texts(docs, known.select("cls", "rep"), size), "texts")
     buckets = buckets.join(known.select("cls", "pop"), "cls").select("key", "cls", "pop")
     found = roots = None
     open_rows = _centred(_open(buckets, roots))
@@ -231,21 +268,29 @@ def links(docs: DataFrame, size: int = 5, percent: int = 85, digest: bool = Fals
         open_rows = written(open_rows, "open")
         if open_rows.isEmpty():
             none = open_rows.select(F.col("centre").alias("a"), F.col("cls").alias("b"))
-            return rows.drop("sig", "bands"), none if found is None else found
-        star, far = _star(open_rows, known, sets, percent)
+            return rows.drop("sig"), none if found is None else found
+        star, far = _star(open_rows, known, texts, size, percent)
         hits = star.where("linked").select(F.col("centre").alias("a"), F.col("cls").alias("b"))
         found = hits if found is None else found.unionByName(hits)
         roots = components(found)
         pairs, parts = _torn(star, roots, percent)
-        found = written(found.unionByName(pairs).distinct(), "links")
+        found = written((found if pairs is None else found.unionByName(pairs)).distinct(), "links")
         pop = known.select("cls", "pop")
-        parts = _centred(_open(parts.join(pop, "cls").select("key", "cls", "pop"), roots))
         far = _open(far.join(pop, "cls").select("key", "cls", "pop"), roots)
         count = far.groupBy("key").agg(F.count("*").alias("members"))
         far = written(far.join(count, "key"), "far")
-        led = _led(far.where(F.col("members") <= DIRECT), known)
-        cut = _cut(far.where(F.col("members") > DIRECT).select("key", "cls", "pop"), sets, percent)
-        open_rows = parts.unionByName(led).unionByName(_centred(_open(cut, roots)))
+        largest = far.agg(F.max("members")).first()[0] or 0
+        # What has no rows is not planned at all: plans of many joins cost the driver time and memory.
+        more = [] if parts is None else [_centred(_open(parts.join(pop, "cls").select("key", "cls", "pop"), roots))]
+        if largest:
+            more.append(_led(far.where(F.col("members") <= DIRECT), known))
+        if largest > DIRECT:
+            far = far.where(F.col("members") > DIRECT).select("key", "cls", "pop")
+            wide = written(far.select("cls").distinct(), "wide")
+            more.append(_centred(_open(_cut(far, _full_sets(texts, wide, size), percent), roots)))
+        if not more:
+            return rows.drop("sig"), found
+        open_rows = reduce(DataFrame.unionByName, more)
 
 
 def _centred(buckets: DataFrame) -> DataFrame:
@@ -308,17 +353,21 @@ def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     return label.select("key", "cls", "pop").join(torn.select("key"), "key")
 
 
-def _star(open_rows: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _star(open_rows: DataFrame, known: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(members compared with their centre, with the differences; buckets of the members unlike it)."""
     sig = known.select("cls", "n", "sig")
     near = open_rows.select("centre", "cls").distinct().join(sig, "cls").join(
         sig.select(F.col("cls").alias("centre"), F.col("n").alias("centre_n"), F.col("sig").alias("centre_sig")), "centre")
     near = written(near.select("centre", "cls", "n", "centre_n", _agreement(F.col("sig"), F.col("centre_sig")).alias("like")),
                    "near")
-    star = near.where(F.col("like") >= NEAR).join(sets, "cls").join(
-        sets.select(F.col("cls").alias("centre"), F.col("items").alias("centre_items")), "centre")
-    star = star.select("centre", "cls", "n", "centre_n", F.array_except("items", "centre_items").alias("added"),
-                       F.array_except("centre_items", "items").alias("gone"))
+    met = near.where(F.col("like") >= NEAR)
+    both = written(met.select("cls").unionByName(met.select(F.col("centre").alias("cls"))).distinct(), "both")
+    texts = texts.where(maybe(sieve(both, "cls"), "cls"))
+    # Named apart by alias only, so that members and centres read one and the same exchange.
+    own, heart = texts.alias("own"), texts.alias("heart")
+    pairs = met.alias("met").join(own, F.col("met.cls") == F.col("own.cls")).join(heart, F.col("met.centre") == F.col("heart.cls"))
+    star = _differences(pairs.select("met.centre", "met.cls", "n", "centre_n", F.col("own.text").alias("own"),
+                                     F.col("heart.text").alias("heart")), size)
     star = star.withColumn("linked", _linked(F.col("n") - F.size("added"), F.col("n"), F.col("centre_n"), percent))
     unlike = open_rows.where("key is not null").join(near.where(F.col("like") < FAR).select("centre", "cls", "like"), ["centre", "cls"]).select(
         F.xxhash64("key", "centre").alias("key"), "cls", "like")
@@ -345,24 +394,30 @@ def _cut(far: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return firsts.select(F.xxhash64("key", "o.item").alias("key"), "cls", "pop")
 
 
-def _torn(star: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links between members of a star that don't both match its centre: (links, buckets for another round).
+def _torn(star: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links between members of a star that don't both match its centre: (links, buckets for another round), None without any.
 
     Stars of bounded size are finished in one task. A larger one is split by its differences from
     the centre. With `size` of them, two such members share more than half, less a margin, and at
     least size - `most`; so two that match share one of the first size - bound + 1, rarest first.
     """
-    label = _labelled(star, roots)
-    size = F.size("added") + F.size("gone")
+    # Few stars are torn: the differences are dealt out for those only.
+    label = _labelled(star.select("centre", "cls", "linked", (F.size("added") + F.size("gone")).alias("size")), roots)
     torn = label.groupBy("centre").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.max((~F.col("linked")).cast("int")).alias("torn"),
-        F.count("*").alias("members"), F.sum(size).alias("differences")).where("torn = 1 and low < high")
+        F.count("*").alias("members"), F.sum("size").alias("differences")).where("torn = 1 and low < high")
     small = (F.col("members") <= DIRECT) & (F.col("differences") <= DIRECT_ITEMS)
-    label = written(label.join(torn.select("centre", small.alias("small")), "centre").select(
-        "centre", "cls", "n", "linked", "root", "small", F.concat("added", "gone").alias("delta")), "torn")
+    label = written(label.join(torn.select("centre", small.alias("small")), "centre").drop("size"), "torn")
+    if label.isEmpty():
+        return None, None
+    deltas = star.where(maybe(sieve(label, "centre", "cls"), "centre", "cls")).select("centre", "cls", "n", F.concat("added", "gone").alias("delta"))
+    label = written(label.join(deltas, ["centre", "cls"]), "deltas")
     groups = label.where("small").groupBy("centre").agg(
         F.collect_list(F.struct("cls", "n", "linked", "root", "delta")).alias("members"))
+    pairs = _compared(groups, percent)
     rest = label.where("not small")
+    if rest.isEmpty():
+        return pairs, None
     items = rest.select("centre", "cls", F.explode("delta").alias("item"))
     often = items.groupBy("centre", "item").agg(F.count("*").alias("k")).where("k > 1")
     # An element of one member alone joins nothing, but takes its place in the order.
@@ -384,7 +439,7 @@ def _torn(star: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, D
         F.min("root").alias("low"), F.max("root").alias("high"))
     heads = heads.where("low < high and (outer_first > 1 or (inner > 0 and outer > 0))")
     parts = parts.join(heads.select("centre", "item", "inner"), ["centre", "item"]).where("linked or first or inner > 0")
-    return _compared(groups, percent), parts.select(F.xxhash64("centre", "item").alias("key"), "cls")
+    return pairs, parts.select(F.xxhash64("centre", "item").alias("key"), "cls")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFrame:
@@ -414,9 +469,18 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFrame:
     full = rows.where("cls is not null").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls", "text_key")).alias("row"))
     kept = first.select("row.doc_id", "row.text_key").unionByName(rows.where("cls is null").select("doc_id", "text_key").distinct())
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-    # A name that no column of the documents has.
+    kept = written(kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")), "kept")
+    # Rows that go or come more than once; the others stay where they are read.
+    counts = rows.select("doc_id", "text_key", F.lit(1).alias("come"), F.lit(0).alias("stay")).unionByName(
+        kept.select(F.col("kept_id").alias("doc_id"), F.col("kept_key").alias("text_key"), F.lit(0).alias("come"), F.lit(1).alias("stay")))
+    doubtful = written(counts.groupBy("doc_id", "text_key").agg(F.sum("come").alias("come"), F.sum("stay").alias("stay")).where(
+        "come > 1 or stay = 0").select("doc_id", "text_key"), "doubtful")
+    # Names that no column of the documents has.
     name = "_".join(["text_key", *docs.columns])
-    keyed = docs.withColumn(name, F.md5("text"))
-    same = keyed["doc_id"].cast("bigint").eqNullSafe(kept["kept_id"]) & keyed[name].eqNullSafe(kept["kept_key"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    row_id = f"{name}_id"
+    keyed = docs.withColumn(name, F.md5("text")).withColumn(row_id, F.col("doc_id").cast("bigint"))
+    doubt = maybe(sieve(doubtful, "doc_id", "text_key"), row_id, name)
+    asked = keyed.where(doubt)
+    same = asked[row_id].eqNullSafe(kept["kept_id"]) & asked[name].eqNullSafe(kept["kept_key"])
+    asked = asked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name])
+    return keyed.where(~doubt).unionByName(asked).drop(name, row_id)
