@@ -212,3 +212,13 @@ def test_images_and_routes(spark, folder):
                                    T.StructType([*schemas.DIM_CONFIG.fields, T.StructField("ts_ms", T.LongType())]))
     routed = dimsync.route(log, dimsync.current_routes(config)).collect()
     assert [(r["sink_table"], r["info"]) for r in routed] == [("dim_t", {"id": "2", "a": "x"})]
+
+
+def test_routes_are_sent_to_the_changes_and_not_the_other_way_round(spark, folder):
+    spark.createDataFrame([(json.dumps(dict(op="c", after={"id": "1"}, source={"table": "t"}, ts_ms=1)),)], "value string").write.parquet(f"{folder}/in")
+    changes = cdc.parse(spark.read.parquet(f"{folder}/in"))
+    config = spark.createDataFrame([("t", "dim_t", "id", "info", "id", "c", 1)], T.StructType([*schemas.DIM_CONFIG.fields, T.StructField("ts_ms", T.LongType())]))
+    routed = dimsync.route(changes, dimsync.current_routes(config))
+    plan = routed._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan, plan
+    assert [(r.sink_table, r.info) for r in routed.collect()] == [("dim_t", {"id": "1"})]

@@ -27,10 +27,12 @@ def current_routes(config_changes: DataFrame) -> DataFrame:
 def route(changes: DataFrame, routes: DataFrame, *more: str) -> DataFrame:
     """Changes of routed tables as dimension rows: sink table, hashed key, wanted columns, and `more` columns of the route.
 
-    Deletes are not carried over. The routing table has one row per source table.
+    Deletes are not carried over. The routing table has one row per source table, so it is the side to broadcast.
+    Without the hint Spark may send the changes, whose size it takes for that of the texts they were parsed from,
+    or deal them out by their table.
     """
     kept = changes.filter(F.col("op") != "d").withColumn("_table", F.col("source")["table"])
-    joined = kept.join(routes, kept["_table"] == routes["source_table"])
+    joined = kept.join(F.broadcast(routes), kept["_table"] == routes["source_table"])
     wanted = F.split("sink_columns", ",")
     info = F.map_filter("after", lambda k, v: F.array_contains(wanted, k))
     key = F.try_element_at(F.col("after"), F.col("sink_row_key"))
