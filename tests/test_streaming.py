@@ -3,10 +3,13 @@
 import json
 import os
 import random
+from datetime import datetime
 
 from pyspark.sql import functions as F, types as T
 
+import __spark_entry__ as entry
 from tidemart import schemas
+from tidemart.registry.streams import as_bigint
 from tidemart.sources import cdc, kafka
 from tidemart.sources.upsert import UpsertTable
 from tidemart.streaming import dedup, dimsync, ingest, joins, logsplit, runner, trade, visitors
@@ -222,3 +225,28 @@ def test_routes_are_sent_to_the_changes_and_not_the_other_way_round(spark, folde
     plan = routed._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "BuildRight" in plan, plan
     assert [(r.sink_table, r.info) for r in routed.collect()] == [("dim_t", {"id": "1"})]
+
+
+def event_table(spark, folder, rows):
+    """Table `events` as a folder of files; rows: event id, time, user, type, k."""
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    made = [(i, ts, user, kind, 1.5, json.dumps({"k": k})) for i, ts, user, kind, k in rows]
+    spark.createDataFrame(made, schema).repartition(3).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_split_of_a_table_of_several_files_whose_times_sum_beyond_bigint(spark, folder):
+    late = datetime(9999, 1, 1)   # 2.5e14 ms, so 40,000 page rows sum to more than 2**63
+    rows = [(i, late, 1, "click", 1) for i in range(40_000)] + [(40_000, late, 1, "view", 10)]
+    got = {r.branch: (r.n, r.ts_sum) for r in entry.queries()["stream_split_logs"](spark, event_table(spark, folder, rows)).collect()}
+    ms = int((late - datetime(1970, 1, 1)).total_seconds() * 1000)
+    assert got == {"start": (1, ms), "page": (40_000, 40_000 * ms), "display": (40_000, 40_000 * ms), "action": (40_000, 0)}
+    assert 40_000 * ms > 2 ** 63
+
+
+def test_sums_that_fit_stay_bigint(spark):
+    sums = spark.sql("SELECT 'a' k, CAST(9223372036854775807 AS DECIMAL(30,0)) s UNION ALL SELECT 'b', NULL")
+    fits = as_bigint(sums, "s")
+    assert fits.schema["s"].dataType == T.LongType() and {(r.k, r.s) for r in fits.collect()} == {("a", 2 ** 63 - 1), ("b", None)}
+    wide = as_bigint(sums.withColumn("s", F.col("s") + 1), "s")
+    assert {(r.k, r.s) for r in wide.collect()} == {("a", 2 ** 63), ("b", None)}

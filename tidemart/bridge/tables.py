@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..session import scratch_path, tuned
+from ..sources.versions import Folder
 
 TRADE_DAY = "2001-07-31"
 LOG_DAY = "2024-01-30"
@@ -41,8 +42,10 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def raw_stream(self, name: str) -> DataFrame:
-        return (self.spark.readStream.schema(self.raw(name).schema)
-                .option("pathGlobFilter", f"{name}.parquet").parquet(self.folder))
+        stream = self.spark.readStream.schema(self.raw(name).schema)
+        if Folder(self.spark, self.folder).is_folder(f"{name}.parquet"):   # a filter on names sees the files in it only
+            return stream.parquet(f"{self.folder}/{name}.parquet")
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
     def batches(self, name: str, order: str, least: int = 4, most_rows: int = 5_000_000) -> DataFrame:
         """The table as a stream of micro-batches: ranges of `order`, in that order, each unsorted.

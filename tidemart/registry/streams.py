@@ -8,7 +8,7 @@ from .. import schemas
 from ..bridge.sql import CTES
 from ..bridge.tables import Inputs
 from ..plans import persona
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import cdc, kafka
 from ..sources.upsert import UpsertTable
 from ..sources.versions import Pins, VersionedTable
@@ -46,6 +46,12 @@ def changes(t: Inputs, *tables: str) -> DataFrame:
     return cdc.parse(Inputs.change_log(t.raw_stream("orders"), *tables))
 
 
+def as_bigint(sums: DataFrame, column: str) -> DataFrame:
+    """Exact sums as BIGINT; where one of them is too large for that, all stay decimal, so none is lost."""
+    large = ~F.col(column).between(F.lit(-(1 << 63)).cast("decimal(38,0)"), F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+    return sums.withColumn(column, F.col(column).cast("bigint")) if sums.filter(large).isEmpty() else sums
+
+
 def timed(df: DataFrame, millis: str, out: str) -> DataFrame:
     return ingest.with_event_time(df, millis, ingest.CHANGE_DELAY, out)
 
@@ -105,7 +111,8 @@ def _(t):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("branch").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").alias("ts_sum"))
+    exact = F.sum(F.col("ts").cast("decimal(20,0)")).alias("ts_sum")
+    return as_bigint(cut_lineage(out.groupBy("branch").agg(F.count(F.lit(1)).alias("n"), exact), "split-sums"), "ts_sum")
 
 
 @query("stream_display_rows", "SELECT sid, page_id, (k+i+1)::VARCHAR item, (i+1)::VARCHAR pos_id, ms ts FROM page_view, range(2) r(i) WHERE i < k%3")

@@ -33,6 +33,9 @@ class Folder:
     def has(self, name: str) -> bool:
         return self._fs.exists(self._jvm_path(f"{self.path}/{name}"))
 
+    def is_folder(self, name: str) -> bool:
+        return self._fs.getFileStatus(self._jvm_path(f"{self.path}/{name}")).isDirectory()
+
     def make(self, name: str) -> None:
         self._fs.mkdirs(self._jvm_path(f"{self.path}/{name}"))
 
