@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 import __spark_entry__ as entry
 from tidemart import schemas
+from tidemart.bridge.tables import Inputs
 from tidemart.registry.streams import as_bigint
 from tidemart.sources import cdc, kafka
 from tidemart.sources.upsert import UpsertTable
@@ -250,3 +251,20 @@ def test_sums_that_fit_stay_bigint(spark):
     assert fits.schema["s"].dataType == T.LongType() and {(r.k, r.s) for r in fits.collect()} == {("a", 2 ** 63 - 1), ("b", None)}
     wide = as_bigint(sums.withColumn("s", F.col("s") + 1), "s")
     assert {(r.k, r.s) for r in wide.collect()} == {("a", 2 ** 63), ("b", None)}
+
+
+def test_batches_of_several_files_come_whole_and_in_order(spark, folder, monkeypatch):
+    rows = [(i, None if i % 50 == 7 else 5 if i % 3 else i) for i in range(400)]          # two thirds share one key: some ranges are empty
+    spark.createDataFrame(rows, "id long, k long").write.parquet(f"{folder}/t.parquet")
+    monkeypatch.setattr(Inputs, "FILE_ROWS", 30)
+    t = Inputs(spark, folder)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 24)
+    for name, stream in (("ranges", t.batches("t", "k")), ("even", t.even_batches("t", "k"))):
+        seen = []
+
+        def step(batch, batch_id):
+            seen.append((batch.rdd.getNumPartitions(), [r.k or 0 for r in batch.collect()]))
+        runner.finish(runner.per_batch(stream, step, f"{folder}/{name}", once=True))
+        assert len(seen) == 4 and sorted(k for _, ks in seen for k in ks) == sorted(k or 0 for _, k in rows)
+        ends = [(min(ks), max(ks)) for _, ks in seen if ks]
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and max(n for n, _ in seen) > 1

@@ -50,35 +50,48 @@ class Inputs:
     def batches(self, name: str, order: str, least: int = 4, most_rows: int = 5_000_000) -> DataFrame:
         """The table as a stream of micro-batches: ranges of `order`, in that order, each unsorted.
 
-        All rows come, one file of a range per batch; NULL goes with the first range. There are
-        so many ranges that a file has about `most_rows` rows.
+        All rows come, the files of a range per batch; NULL goes with the first range. A file has
+        about `most_rows` rows at most, and there are more than `least` ranges only beyond 16 of those per range.
         """
         table = self.raw(name)
-        parts = max(least, -(-table.count() // most_rows))
+        rows = table.count()
+        parts = max(least, -(-rows // (16 * most_rows)))
         rank = F.col(order)
         if "timestamp" in table.schema[order].dataType.simpleString():
             rank = rank.cast("timestamp")
         rank = rank.cast("double")
         cuts = table.select(F.percentile_approx(rank, [k / parts for k in range(1, parts)], 1000)).first()[0] or []
-        path = scratch_path(self.spark, f"{name}-batches")
         place = F.lit(0)
         for cut in cuts:
             place = place + F.coalesce((rank > cut).cast("int"), F.lit(0))
-        for k in range(parts):
-            table.filter(place == k).repartition(1, F.lit(k)).write.mode("append").parquet(path)
-        return self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return self._in_turn(f"{name}-batches", [table.filter(place == k) for k in range(parts)], rows, min(most_rows, self.FILE_ROWS))
 
     def even_batches(self, name: str, key: str, n: int = 4) -> DataFrame:
         """The table as `n` micro-batches: equal spans of the whole-number column `key`, in that order. Each row has the
         number of its batch as `place`; NULL goes with the first. An empty span is an empty batch."""
         table = self.raw(name)
-        low, high = table.agg(F.min(key), F.max(key)).first()
+        low, high, rows = table.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
         place = F.lit(0) if low is None else F.coalesce(F.expr(f"cast(({key} - {low}) * {n} div ({high} - {low} + 1) as int)"), F.lit(0))
         placed = table.withColumn("place", place)
-        path = scratch_path(self.spark, f"{name}-even")
-        for k in range(n):
-            placed.filter(F.col("place") == k).repartition(1, F.lit(k)).write.mode("append").parquet(path)
-        return self.spark.readStream.schema(placed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return self._in_turn(f"{name}-even", [placed.filter(F.col("place") == k) for k in range(n)], rows, self.FILE_ROWS)
+
+    #: Rows of a file of a micro-batch. Its files are read side by side, and a file's rows become several messages each.
+    FILE_ROWS = 100_000
+
+    def _in_turn(self, name: str, parts: list[DataFrame], rows: int, file_rows: int) -> DataFrame:
+        """A stream with a micro-batch for each of `parts` (of `rows` rows in all), in that order.
+
+        The source takes files by age and a fixed number at a time, so each part gets the same number of
+        files: a job writes none for a partition without rows, and empty files make up for those.
+        """
+        path = scratch_path(self.spark, name)
+        files = max(1, -(-rows // (len(parts) * file_rows)))
+        nothing = self.spark.createDataFrame([], parts[0].schema).coalesce(1)
+        for k, part in enumerate(parts):
+            part.repartition(files).write.mode("append").parquet(path)
+            for _ in range((k + 1) * files - sum(n.endswith(".parquet") for n in Folder(self.spark, path).names())):
+                nothing.write.mode("append").parquet(path)
+        return self.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", files).parquet(path)
 
     # ---- base tables with plain types -------------------------------------------------
 
