@@ -454,3 +454,31 @@ def test_live_lookup_survives_a_failure_at_each_write(spark, folder, monkeypatch
         runner.finish(runner.per_batch(spark.readStream.schema(ROW).option("maxFilesPerTrigger", 1).json(f"{folder}/in"), step, f"{root}/check", once=True))
 
     survives(monkeypatch, folder, start, lambda root: texts(spark.read.schema("k long, n long, name string").parquet(f"{root}/out").select("k", "n", "name")))
+
+
+def test_rows_of_many_keys_are_thinned_without_a_call_for_each(monkeypatch):
+    rows = pd.DataFrame([(k, t, n) for n, (k, t) in enumerate([(7, 5), (8, 1), (7, None), (7, 4), (None, 3), (7, 6), (None, 3), (8, 2)])], columns=list("ktn"))
+    calls = []
+    monkeypatch.setattr(pd.Series, "cummax", lambda *a, **b: calls.append(1))
+    got = keyed.rising(rows, ["k"], "t", "n")
+    assert not calls and {(k, t) for k, t in got[["k", "t"]].dropna().itertuples(index=False)} >= {(7, 5), (7, 6), (8, 1), (8, 2)}
+    assert len(got[got.k.isna()]) == 1 and 3 not in got.n.tolist()[:1]
+
+
+def test_newest_of_plain_rows():
+    from pyspark.sql import Row
+    processor, handle = keyed.NewestSeenRows("k", "t", "n"), Handle()
+    processor.init(handle)
+    rows = lambda *r: iter([Row(k=1, t=t, n=n) for t, n in r])
+    assert [r.t for r in processor.handleInputRows((1,), rows((7, 2), (None, 1), (5, 0), (6, 3), (9, None)), at(0))] == [5, 7, 9]
+    assert list(processor.handleInputRows((1,), rows((9, 5), (3, 4)), at(0))) == []
+    assert [r.t for r in processor.handleInputRows((1,), rows((10, 6)), at(0))] == [10]
+
+
+def test_visits_of_a_device_are_one_row_of_an_arrow_batch(spark, folder):
+    rows = pd.DataFrame([("a", 9, "1"), ("a", 3, None), ("a", 3, "1"), ("b", 4, "1"), ("b", 4, "1"), ("c", 2, "0")], columns=["mid", "ts", "is_new"])
+    assert [(r.mid, list(r.claims), r.begin, r.flag, r.end) for r in keyed.visits_of(rows).itertuples()] == [
+        ("a", [3, 9], 3, "", 9), ("b", [4, 4], 4, "1", 4), ("c", [], 2, "0", 2)]
+    batches = [[dict(mid="b", ts=-5, is_new="1")] * 2, [dict(mid="a", ts=DAY + 3, is_new="1"), dict(mid="a", ts=DAY - 1, is_new="0"), dict(mid="b", ts=-1, is_new="1"), dict(mid="b", ts=0, is_new="1")]]
+    got = collect(spark, folder, keyed.repair_is_new(stream_of(spark, folder, "in", batches, FLAGS))).collect()
+    assert sorted(map(tuple, got)) == [("a", DAY - 1, "0"), ("a", DAY + 3, "0"), ("b", -5, "1"), ("b", -5, "1"), ("b", -1, "1"), ("b", 0, "0")]

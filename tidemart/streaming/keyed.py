@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from .visitors import DAY_MS
@@ -36,7 +36,8 @@ def _read(state) -> object:
 def rising(rows: pd.DataFrame, keys: list[str], time: str, arrival: str) -> pd.DataFrame:
     """Rows newer than every earlier arrival of their key among these rows, in the order of arrival."""
     rows = rows.sort_values([*keys, arrival], kind="stable")
-    seen = rows.groupby(keys, dropna=False, sort=False)[time].transform(lambda t: t.cummax().shift())
+    highest = rows.groupby(keys, dropna=False, sort=False)[time].cummax()
+    seen = highest.groupby([rows[k] for k in keys], dropna=False, sort=False).shift()
     return rows[rows[time].notna() & (seen.isna() | (rows[time] > seen))]
 
 
@@ -63,6 +64,21 @@ class NewestSeen(StatefulProcessor):
         pass
 
 
+class NewestSeenRows(NewestSeen):
+    """The same over plain rows: a frame for each key of a micro-batch costs far more than its few rows."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest = known = _read(self.newest)
+        timed = [r for r in rows if r[self.time] is not None]
+        timed.sort(key=lambda r: (r[self.arrival] is None, r[self.arrival]))
+        for row in timed:
+            if newest is None or row[self.time] > newest:
+                newest = row[self.time]
+                yield row
+        if newest != known:
+            self.newest.update((int(newest),))
+
+
 def newer_only(stream: DataFrame, key: str, time: str, arrival: str, ttl_ms: int | None = None) -> DataFrame:
     """Rows whose `time` is above that of every earlier arrival of their key; micro-batches come in the
     order of `arrival`, their rows in any. Rows without a time are left out."""
@@ -72,8 +88,8 @@ def newer_only(stream: DataFrame, key: str, time: str, arrival: str, ttl_ms: int
         for rows in batches:
             yield rising(rows, [key], time, arrival)
 
-    return stream.mapInPandas(thin, stream.schema).groupBy(key).transformWithStateInPandas(
-        NewestSeen(key, time, arrival, ttl_ms), stream.schema, "Append", "ProcessingTime" if ttl_ms else "None").select(*names)
+    return stream.mapInPandas(thin, stream.schema).groupBy(key).transformWithState(
+        NewestSeenRows(key, time, arrival, ttl_ms), stream.schema, "Append", "ProcessingTime" if ttl_ms else "None").select(*names)
 
 
 # ---- first day of a device -------------------------------------------------------------------
