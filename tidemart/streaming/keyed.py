@@ -108,20 +108,21 @@ class FirstDay(StatefulProcessor):
         self.handle = handle
         self.first = handle.getValueState("first", T.StructType().add("day", "long").add("last", "long"))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        here = pd.concat(list(rows))
+    def noted(self, begin: int, flag: str, end: int) -> int:
+        """First day of the device, after visits from `begin`, with that flag, to `end`."""
         known = self.first.get()
-        begin, end = int(here["ts"].min()), int(here["ts"].max())
         if known is not None and self.idle_ms is not None and begin - known[1] > self.idle_ms:
             known = None
-        if known is None:
-            first = here[here["ts"] == begin]["is_new"].fillna("").min()   # '0' before '1' at the same time
-            day, last = begin // DAY_MS - (first != "1"), end
-        else:
-            day, last = known[0], max(known[1], end)
+        day, last = (begin // DAY_MS - (flag != "1"), end) if known is None else (known[0], max(known[1], end))
         self.first.update((int(day), int(last)))
         if self.idle_ms is not None:
             self.handle.registerTimer(last + self.idle_ms + 1)
+        return int(day)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        here = pd.concat(list(rows))
+        begin, end = int(here["ts"].min()), int(here["ts"].max())
+        day = self.noted(begin, here[here["ts"] == begin]["is_new"].fillna("").min(), end)   # '0' before '1' at the same time
         passed = here[~here["hint"]]
         if len(passed):
             stale = (passed["is_new"] == "1") & (passed["ts"] // DAY_MS != day)
@@ -137,17 +138,51 @@ class FirstDay(StatefulProcessor):
         pass
 
 
+class FirstDayOfVisits(FirstDay):
+    """The same over rows that hold a device's visits of an Arrow batch (`visits_of`): gives out the times of
+    those that claim to be new with the device's first day."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows = list(rows)
+        begin, flag = min((r.begin, r.flag) for r in rows)
+        day = self.noted(begin, flag, max(r.end for r in rows))
+        for r in rows:
+            if r.claims:
+                yield Row(mid=key[0], claims=r.claims, day=day)
+
+
+VISITS = "mid string, claims array<long>, begin long, flag string, end long"
+
+
+def visits_of(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row a device: the times of its rows that claim to be new, the first time and its flag, the last time."""
+    rows = rows.assign(is_new=rows["is_new"].fillna("")).sort_values(["mid", "ts", "is_new"], kind="stable")
+    mid, ts, flag = (rows[c].to_numpy() for c in ("mid", "ts", "is_new"))
+    starts = np.flatnonzero(np.r_[True, mid[1:] != mid[:-1]])
+    ends, claim = np.r_[starts[1:], len(rows)], flag == "1"
+    claims = [ts[a:b][claim[a:b]] for a, b in zip(starts, ends)]
+    return pd.DataFrame({"mid": mid[starts], "claims": claims, "begin": ts[starts], "flag": flag[starts], "end": ts[ends - 1]})
+
+
 def repair_is_new(logs: DataFrame, idle_ms: int | None = None, delay: str = "3 seconds") -> DataFrame:
     """Columns mid, ts, is_new of a stream: a device counts as new only on the day of its first visit.
 
-    Only rows that claim to be new go through the state. Of the others each Arrow batch sends a device's
-    earliest and latest as hints. Rows without a device or a time keep their flag. With `idle_ms` the
-    stream gets a watermark of `delay`, and a device's rows behind it count as not seen before.
+    Of each Arrow batch a device sends one row through the state, with the times that claim to be new and its
+    earliest and latest visit. Rows without a device or a time keep their flag. With `idle_ms` the stream
+    gets a watermark of `delay`, and a device's rows behind it count as not seen before; rows then go through
+    the state one by one, those that don't claim to be new as a device's earliest and latest of an Arrow batch.
     """
     logs = logs.select("mid", "ts", "is_new")
     usable = F.col("mid").isNotNull() & F.col("ts").isNotNull()
     claims = F.coalesce(F.col("is_new") == "1", F.lit(False)) & usable
 
+    if idle_ms is None:
+        packed = logs.filter(usable).mapInPandas(lambda batches: (visits_of(rows) for rows in batches if len(rows)), VISITS)
+        days = packed.groupBy("mid").transformWithState(FirstDayOfVisits(), "mid string, claims array<long>, day long", "Append", "None")
+        day = F.expr(f"(ts - pmod(ts, {DAY_MS})) div {DAY_MS}")
+        told = days.select("mid", F.explode("claims").alias("ts"), "day")
+        return logs.filter(~claims).unionByName(told.select("mid", "ts", F.when(day != F.col("day"), "0").otherwise("1").alias("is_new")))
+
     def hints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             new = rows["is_new"] == "1"
@@ -157,10 +192,8 @@ def repair_is_new(logs: DataFrame, idle_ms: int | None = None, delay: str = "3 s
 
     schema = T.StructType([*logs.schema.fields, T.StructField("hint", T.BooleanType())])
     told = logs.filter(usable).mapInPandas(hints, schema)
-    if idle_ms is not None:
-        told = told.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
-    repaired = told.groupBy("mid").transformWithStateInPandas(
-        FirstDay(idle_ms), logs.schema, "Append", "None" if idle_ms is None else "EventTime")
+    told = told.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
+    repaired = told.groupBy("mid").transformWithStateInPandas(FirstDay(idle_ms), logs.schema, "Append", "EventTime")
     return logs.filter(~claims).unionByName(repaired)
 
 
