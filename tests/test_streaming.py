@@ -268,3 +268,17 @@ def test_batches_of_several_files_come_whole_and_in_order(spark, folder, monkeyp
         assert len(seen) == 4 and sorted(k for _, ks in seen for k in ks) == sorted(k or 0 for _, k in rows)
         ends = [(min(ks), max(ks)) for _, ks in seen if ks]
         assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and max(n for n, _ in seen) > 1
+
+
+def test_parts_of_order_lines_are_kept_as_plain_columns(spark, folder):
+    """What a batch keeps while its parts are written has no maps, and gives the rows of each part."""
+    changes = cdc.parse(spark.createDataFrame([(json.dumps(c),) for c in [*_changes(), change("u", "payment_info", dict(id=1), 9000)]], "value string"))
+    for retention, kept in ((None, 23), (1000, 24)):                                  # with a retention the last time of all messages counts
+        job = trade.OrderDetailJoin(spark, f"{folder}/{retention}", retention)
+        wide = job._wide(changes)
+        assert not any(isinstance(f.dataType, (T.MapType, T.ArrayType)) for f in wide.schema) and wide.count() == kept
+    job = trade.OrderDetailJoin(spark, f"{folder}/job")
+    job.step(changes, 0)
+    for part, make in (("detail", trade.detail_rows), ("order", trade.order_rows), ("activity", trade.activity_rows), ("coupon", trade.coupon_rows)):
+        rows = make(changes)
+        assert sorted(map(str, job.parts[part].latest().select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
